@@ -86,7 +86,7 @@ def ingest_json(
     seen = F.current_timestamp() if processed_time is None else processed_time
     wire = schema
     if keep_id and "id" not in schema.names:
-        wire = StructType(schema.fields).add("id", "string")
+        wire = StructType([*schema.fields]).add("id", "string")
     derived = [record_id(*id_columns).alias("_derived_id")] if with_id else []
     # inline() parses each record once: filters on its output are not pushed below it.
     rows = records.select(

@@ -54,12 +54,16 @@ def start_registration(
     checkpoint: str,
     interval: str | None = None,
     available_now: bool = False,
+    location: str | None = None,
+    buckets: int = ID_BUCKETS,
     **source_options: str,
 ) -> StreamingQuery:
     """Keep a table of users with unique e-mails up to date with a topic."""
     return start_batches(
         topics.stream(spark, topic, **source_options),
-        lambda batch, batch_id: register_batch(batch, batch_id, table),
+        lambda batch, batch_id: register_batch(
+            batch, batch_id, table, buckets=buckets, location=location
+        ),
         checkpoint,
         interval=interval,
         available_now=available_now,
