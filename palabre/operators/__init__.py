@@ -8,6 +8,7 @@ from palabre.operators.classify import (
     train_classifier,
 )
 from palabre.operators.ingest import Ingested, ingest_json
+from palabre.operators.joins import left_join
 from palabre.operators.messages import (
     messages_left_join,
     messages_with_status,
@@ -39,6 +40,7 @@ __all__ = [
     "filter_min_price",
     "ingest_json",
     "json_reply",
+    "left_join",
     "login_matches",
     "messages_left_join",
     "messages_with_status",

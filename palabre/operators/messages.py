@@ -9,66 +9,85 @@ from pyspark.sql import functions as F
 
 from palabre.functions.ids import record_id
 from palabre.functions.values import format_time
+from palabre.operators.joins import left_join
 from palabre.schemas import DEFAULT_VERDICT, MESSAGE, ROUTES
 
-
-def _verdicts(metadata: DataFrame) -> DataFrame:
-    return metadata.select(F.col("id_message"), F.col("valide").cast("string").alias("valide"))
+# Rows that one row may turn into within a task.
+MANY_VERDICTS = 100_000
 
 
 def _message_columns(messages: DataFrame) -> list[Column]:
     return [F.col("id").alias("message_id"), *[F.col(f"`{c}`") for c in MESSAGE.names]]
 
 
+def status_counts(messages: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Every message and verdict, equal ones counted in ``copies``.
+
+    Verdicts are counted per message before the join, on the map side, so a
+    message with very many of them is one row per kind of verdict. Messages
+    without an id have no verdict and are not shuffled.
+    """
+    verdicts = (
+        metadata.filter(F.col("id_message").isNotNull())
+        .groupBy("id_message", F.col("valide").cast("string").alias("valide"))
+        .agg(F.count(F.lit(1)).alias("copies"))
+    )
+    columns = _message_columns(messages)
+    named = messages.filter(F.col("id").isNotNull()).select(*columns)
+    joined = named.join(verdicts, F.col("message_id") == F.col("id_message"), "left")
+    nameless = messages.filter(F.col("id").isNull()).select(
+        *columns, F.lit(DEFAULT_VERDICT).alias("valide"), F.lit(1).cast("long").alias("copies")
+    )
+    return joined.select(
+        *named.columns,
+        F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+    ).unionByName(nameless)
+
+
+def _repeat(df: DataFrame, times: Column) -> DataFrame:
+    """Each row as often as ``times`` says."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    numbered = df.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("_n"))
+    return numbered.drop("_n")
+
+
 def messages_with_status(
-    messages: DataFrame, metadata: DataFrame, latest_only: bool = False
+    messages: DataFrame,
+    metadata: DataFrame,
+    latest_only: bool = False,
+    many: int = MANY_VERDICTS,
 ) -> DataFrame:
     """Every message with each of its moderation verdicts, ``'false'`` if it has none.
 
     A message with several verdicts gives several rows; ``latest_only`` keeps the
-    newest one.
-
-    The left join is written as its two halves. Messages with verdicts come from
-    an inner join, where adaptive execution can split a message that holds a
-    large share of all verdicts (it cannot split the right side of a left join).
-    Messages without come from an anti join against the distinct message ids.
-    Both halves read the same shuffle of the messages.
+    newest one. Equal rows are joined once and repeated afterwards; those of a
+    message with more than ``many`` equal verdicts are written by several tasks.
     """
-    columns = _message_columns(messages)
     if latest_only:
-        newest = metadata.groupBy("id_message").agg(
-            F.max_by(F.col("valide").cast("string"), "date").alias("valide")
+        newest = (
+            metadata.filter(F.col("id_message").isNotNull())
+            .groupBy("id_message")
+            .agg(F.max(F.struct("date", "valide")).alias("last"))
+            .select("id_message", F.col("last.valide").cast("string").alias("valide"))
         )
         joined = messages.join(newest, F.col("id") == F.col("id_message"), "left")
-        return joined.select(*columns, F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"))
-
-    verdicts = _verdicts(metadata)
-    named = messages.filter(F.col("id").isNotNull()).select(*columns)
-    judged = named.join(verdicts, F.col("message_id") == F.col("id_message")).select(
-        *named.columns, F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide")
-    )
-    ids = verdicts.select(F.col("id_message").alias("message_id")).distinct()
-    default = F.lit(DEFAULT_VERDICT).alias("valide")
-    unjudged = named.join(ids, "message_id", "left_anti").select(*named.columns, default)
-    nameless = messages.filter(F.col("id").isNull()).select(*columns, default)
-    return judged.unionByName(unjudged).unionByName(nameless)
-
-
-def status_counts(messages: DataFrame, metadata: DataFrame) -> DataFrame:
-    """The rows of ``messages_with_status`` with equal ones counted in ``copies``.
+        return joined.select(
+            *_message_columns(messages),
+            F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
+        )
 
-    Verdicts are counted per message before the join, on the map side, so a
-    message with very many of them costs one row.
-    """
-    verdicts = _verdicts(metadata).groupBy("id_message", "valide").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
-    joined = messages.join(verdicts, F.col("id") == F.col("id_message"), "left")
-    return joined.select(
-        *_message_columns(messages),
-        F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
-        F.coalesce("copies", F.lit(1)).alias("copies"),
+    counted = status_counts(messages, metadata)
+    copies = F.col("copies")
+    few = _repeat(counted.filter(copies <= many), copies).drop("copies")
+    last_part = F.expr(f"(copies - 1) div {many}")
+    parts = (
+        counted.filter(copies > many)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last_part)).alias("_part"))
+        .repartition("message_id", "_part")
     )
+    in_part = F.least(F.lit(many), copies - F.col("_part") * many)
+    return few.unionByName(_repeat(parts, in_part).drop("copies", "_part"))
 
 
 def messages_left_join(
@@ -79,14 +98,7 @@ def messages_left_join(
     The metadata columns get a prefix, so no name occurs twice.
     """
     right = metadata.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in metadata.columns])
-    named = messages.filter(F.col("id").isNotNull())
-    verdict_id = f"{prefix}id_message"
-    judged = named.join(right, F.col("id") == F.col(verdict_id))
-    ids = right.select(F.col(verdict_id).alias("id")).distinct()
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    unjudged = named.join(ids, "id", "left_anti").select(*messages.columns, *nulls)
-    nameless = messages.filter(F.col("id").isNull()).select(*messages.columns, *nulls)
-    return judged.unionByName(unjudged).unionByName(nameless)
+    return left_join(messages, right, "id", f"{prefix}id_message")
 
 
 def normalize_message(
