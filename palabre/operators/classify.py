@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -55,7 +56,7 @@ def train_classifier(
     text: str = "message",
     label: str = "type",
     labels: Sequence[str] = MESSAGE_LABELS,
-    features: int = 1 << 18,
+    features: int = 1 << 16,
     max_iter: int = 20,
 ) -> PipelineModel:
     """Fit a text classifier on messages whose label is known; others are left out."""
@@ -63,20 +64,26 @@ def train_classifier(
     known = labelled.filter(F.col(text).isNotNull() & F.col(label).isin(*labels)).select(
         F.col(text), (number - 1).cast("double").alias("class")
     )
-    steps = [
-        RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\W+"),
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features),
-        IDF(inputCol="_counts", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="class",
-            predictionCol="_prediction",
-            rawPredictionCol="_raw",
-            probabilityCol="_scores",
-            maxIter=max_iter,
-        ),
-    ]
-    return Pipeline(stages=steps).fit(known)
+    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\W+")
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=features)
+    weights = IDF(inputCol="_counts", outputCol="_features")
+    regression = LogisticRegression(
+        featuresCol="_features",
+        labelCol="class",
+        predictionCol="_prediction",
+        rawPredictionCol="_raw",
+        probabilityCol="_scores",
+        maxIter=max_iter,
+    )
+    # Both fits read the word counts: make them once.
+    counted = counts.transform(words.transform(known)).select("class", "_counts")
+    counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        weighing = weights.fit(counted)
+        fitted = regression.fit(weighing.transform(counted))
+    finally:
+        counted.unpersist()
+    return PipelineModel(stages=[words, counts, weighing, fitted])
 
 
 def classify_with_model(

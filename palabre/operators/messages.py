@@ -20,29 +20,37 @@ def _message_columns(messages: DataFrame) -> list[Column]:
     return [F.col("id").alias("message_id"), *[F.col(f"`{c}`") for c in MESSAGE.names]]
 
 
-def status_counts(messages: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Every message and verdict, equal ones counted in ``copies``.
-
-    Verdicts are counted per message before the join, on the map side, so a
-    message with very many of them is one row per kind of verdict. Messages
-    without an id have no verdict and are not shuffled.
-    """
+def _counted(messages: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Messages that have an id, with the number of each kind of verdict in ``copies``."""
     verdicts = (
         metadata.filter(F.col("id_message").isNotNull())
         .groupBy("id_message", F.col("valide").cast("string").alias("valide"))
         .agg(F.count(F.lit(1)).alias("copies"))
     )
-    columns = _message_columns(messages)
-    named = messages.filter(F.col("id").isNotNull()).select(*columns)
+    named = messages.filter(F.col("id").isNotNull()).select(*_message_columns(messages))
     joined = named.join(verdicts, F.col("message_id") == F.col("id_message"), "left")
-    nameless = messages.filter(F.col("id").isNull()).select(
-        *columns, F.lit(DEFAULT_VERDICT).alias("valide"), F.lit(1).cast("long").alias("copies")
-    )
     return joined.select(
         *named.columns,
         F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
-    ).unionByName(nameless)
+    )
+
+
+def _nameless(messages: DataFrame) -> DataFrame:
+    """Messages without an id: they have no verdict and need no shuffle."""
+    return messages.filter(F.col("id").isNull()).select(
+        *_message_columns(messages), F.lit(DEFAULT_VERDICT).alias("valide")
+    )
+
+
+def status_counts(messages: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Every message and verdict, equal ones counted in ``copies``.
+
+    Verdicts are counted per message before the join, on the map side, so a
+    message with very many of them is one row per kind of verdict.
+    """
+    one = F.lit(1).cast("long").alias("copies")
+    return _counted(messages, metadata).unionByName(_nameless(messages).select("*", one))
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:
@@ -77,7 +85,7 @@ def messages_with_status(
             F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
         )
 
-    counted = status_counts(messages, metadata)
+    counted = _counted(messages, metadata)
     copies = F.col("copies")
     few = _repeat(counted.filter(copies <= many), copies).drop("copies")
     last_part = F.expr(f"(copies - 1) div {many}")
@@ -87,7 +95,8 @@ def messages_with_status(
         .repartition("message_id", "_part")
     )
     in_part = F.least(F.lit(many), copies - F.col("_part") * many)
-    return few.unionByName(_repeat(parts, in_part).drop("copies", "_part"))
+    spread = _repeat(parts, in_part).drop("copies", "_part")
+    return few.unionByName(spread).unionByName(_nameless(messages))
 
 
 def messages_left_join(
