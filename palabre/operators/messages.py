@@ -79,11 +79,13 @@ def messages_with_status(
             .agg(F.max(F.struct("date", "valide")).alias("last"))
             .select("id_message", F.col("last.valide").cast("string").alias("valide"))
         )
-        joined = messages.join(newest, F.col("id") == F.col("id_message"), "left")
-        return joined.select(
+        named = messages.filter(F.col("id").isNotNull())
+        joined = named.join(newest, F.col("id") == F.col("id_message"), "left")
+        judged = joined.select(
             *_message_columns(messages),
             F.coalesce("valide", F.lit(DEFAULT_VERDICT)).alias("valide"),
         )
+        return judged.unionByName(_nameless(messages))
 
     counted = _counted(messages, metadata)
     copies = F.col("copies")

@@ -21,11 +21,16 @@ def _one_message(rows: DataFrame, key: str | None, value: str) -> DataFrame:
     return one.select(F.lit(key).cast("string").alias("key"), F.lit(value).alias("value"))
 
 
+def _size(df: DataFrame) -> Column:
+    return df.agg(F.count(F.lit(1))).scalar()
+
+
 def json_reply(
     rows: DataFrame,
     spread_by: Sequence[str] | None = None,
     copies: str | None = None,
     columns: Sequence[str] | None = None,
+    total: Column | None = None,
     encoding: str = "object",
     request_key: str | None = None,
     max_rows: int = MAX_ROWS,
@@ -43,7 +48,9 @@ def json_reply(
     (columns that tell the rows apart); each bucket is numbered and cut on its
     own. Without ``spread_by`` equal records are counted first and their copies
     spread, so no bucket grows with the copies of one record. ``copies`` names a
-    column that already holds such counts. The cut depends on the data only.
+    column that already holds such counts. ``total`` is an upper bound for the
+    number of records, for rows that are dear to count. The cut depends on the
+    data only.
     """
     if encoding not in ("object", "string"):
         raise ValueError(f"encoding must be 'object' or 'string', not {encoding!r}")
@@ -61,7 +68,8 @@ def json_reply(
             .agg(F.sum("copies").alias("copies"))
             .withColumn("name", F.col("record"))
         )
-    total = rows.agg(F.coalesce(F.sum(count), F.lit(0).cast("long"))).scalar()
+    if total is None:
+        total = rows.agg(F.coalesce(F.sum(count), F.lit(0).cast("long"))).scalar()
     buckets = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(max_rows)))
 
     # A record with more copies than fit one message goes to several buckets.
@@ -130,6 +138,7 @@ def reply_messages(
         spread_by=["message_id", "valide"],
         copies="copies",
         columns=columns,
+        total=_size(messages) + _size(metadata),
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,
@@ -151,6 +160,7 @@ def reply_users(
     reply = json_reply(
         rows,
         columns=visible_columns(users, columns),
+        total=_size(users),
         spread_by=spread_by,
         request_key=request_key,
         max_rows=max_rows,

@@ -116,6 +116,7 @@ def _reply(
     max_bytes: int = 900_000,
     request_key: str = "NULL",
     encoding: str = "object",
+    total: str = "SELECT SUM(copies) FROM records",
 ) -> str:
     """Cut ``records(name, record, copies)`` into reply messages."""
     value = "'[' || string_agg(record, ',' ORDER BY row) || ']'"
@@ -123,7 +124,7 @@ def _reply(
         value = "CAST(to_json(list(record ORDER BY row)) AS VARCHAR)"
     place = "bucket || '-' || row_cut || '-' || byte_cut"
     return f"""buckets AS (
-    SELECT GREATEST(1, CAST(CEIL(SUM(copies) / {max_rows}) AS BIGINT)) AS buckets FROM records),
+    SELECT GREATEST(1, CAST(CEIL(({total}) / {max_rows}) AS BIGINT)) AS buckets),
 pieces AS (
     SELECT name, record, copies, unnest(range(0, (copies - 1) // {max_rows} + 1)) AS piece
     FROM records),
@@ -148,6 +149,9 @@ SELECT CASE WHEN buckets = 1 AND row_cut = 0 AND byte_cut = 0 THEN CAST({request
 FROM cut GROUP BY bucket, buckets, row_cut, byte_cut"""
 
 
+_MESSAGES_AND_VERDICTS = "SELECT (SELECT COUNT(*) FROM messages) + (SELECT COUNT(*) FROM verdicts)"
+
+
 def _message_json(with_id: bool) -> str:
     head = "'message_id': message_id, " if with_id else ""
     return f"""CAST(to_json({{{head}'message': message,
@@ -193,9 +197,9 @@ ORACLES: dict[str, str] = {
     "message_status_counts": f"""WITH {_ORDER_MESSAGES}, {_LINE_VERDICTS}, {_COPIES}
         SELECT message_id, valide, copies FROM copies""",
     "reply_messages_json": f"""WITH {_MESSAGES}, {_VERDICTS}, {_COPIES},
-        {_message_records(True)}, {_reply(200)}""",
+        {_message_records(True)}, {_reply(200, total=_MESSAGES_AND_VERDICTS)}""",
     "reply_messages_with_copies": f"""WITH {_ORDER_MESSAGES}, {_LINE_VERDICTS}, {_COPIES},
-        {_message_records(False)}, {_reply(2, request_key="'request'")}""",
+        {_message_records(False)}, {_reply(2, request_key="'request'", total=_MESSAGES_AND_VERDICTS)}""",
     "normalize_message": f"""SELECT {_NORMALIZED}, '' AS type, '0' AS chat_id,
         '2024-05-06 07:08:09' AS "Created_At" FROM conversations""",
     "route_topics": """WITH routed AS (

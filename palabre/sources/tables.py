@@ -97,30 +97,34 @@ def quarantine(
 def append_partitioned_by_date(
     df: DataFrame, table: str, time_column: str = "processed_time"
 ) -> None:
-    """Append rows to the ``year/month/day`` partitions of ``time_column``."""
+    """Append rows to the ``year/month/day`` partitions of ``time_column``.
+
+    Rows of a day are brought together, and a large day split, so that the number
+    of files follows the size of the data.
+    """
     kept = [F.col(f"`{c}`") for c in df.columns if c not in DATE_COLUMNS]
-    append_table(df.select(*kept, *date_parts(F.col(time_column))), table)
+    dated = df.select(*kept, *date_parts(F.col(time_column)))
+    append_table(dated.hint("rebalance", *[F.col(c) for c in DATE_COLUMNS]), table)
 
 
 def write_batch(
     df: DataFrame,
     table: str,
     batch_id: int,
-    bucket_by: str | None = None,
-    buckets: int = ID_BUCKETS,
-    tasks_per_bucket: int = 1,
+    cluster_by: str | None = None,
 ) -> None:
     """Write a micro-batch so that a replay replaces it instead of adding to it.
 
     The batch owns the partition ``_batch_id`` of the table, which must be the
-    first partition column. For a bucketed table rows are first grouped by
-    bucket: a task then writes one file, not one per bucket.
+    first partition column. For a table bucketed by ``cluster_by`` rows are
+    brought together first, in tasks sized by adaptive execution, so that not
+    every task writes a file per bucket.
     """
     spark = df.sparkSession
     columns = [c for c in spark.read.table(table).columns if c != BATCH_COLUMN]
     rows = df.select(*[F.col(f"`{c}`") for c in columns])
-    if bucket_by:
-        rows = rows.repartition(buckets * tasks_per_bucket, bucket_by)
+    if cluster_by:
+        rows = rows.repartition(cluster_by)
     dates = [c for c in columns if c in partition_columns(spark, table)]
     partition = ", ".join([f"`{BATCH_COLUMN}` = {int(batch_id)}", *[f"`{c}`" for c in dates]])
     spark.sql(

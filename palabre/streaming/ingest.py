@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,7 +35,8 @@ class IngestJob:
 
     ``with_id`` stores an id in front of the record, in a table bucketed by it.
     ``by_date`` partitions the table by the day of the ingest.
-    ``save_topic`` gets a copy of each stored record.
+    ``save_topic`` gets a copy of each stored record. ``show`` prints that many
+    records of each batch to the console.
     """
 
     topic: str
@@ -52,7 +53,7 @@ class IngestJob:
     save_topic: str | None = None
     file_format: str = "orc"
     buckets: int = ID_BUCKETS
-    tasks_per_bucket: int = 1
+    show: int = 0
     location: str | None = None
     error_location: str | None = None
 
@@ -78,7 +79,8 @@ def ingest_batch(
     The batch is parsed once. Ids depend on the records' topic positions only and
     each batch owns its partition, so a replay replaces what it wrote; copies on
     the save topic may repeat and carry the same id. Returns the numbers of
-    records.
+    records, seen on the way to the table; records that a lost executor had
+    processed may be in them twice.
     """
     spark = batch.sparkSession
     ingested = ingest_json(
@@ -93,24 +95,17 @@ def ingest_batch(
     )
     parsed = ingested.parsed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        kept = type(ingested)(parsed, ingested.schema, ingested.with_id)
-        seen_counts = Observation()
-        counted = type(ingested)(
-            parsed.observe(seen_counts, *kept.counts()), ingested.schema, ingested.with_id
-        )
+        kept = replace(ingested, parsed=parsed)
+        observed = Observation()
+        counted = replace(ingested, parsed=parsed.observe(observed, *kept.counts()))
         job.create_table(spark)
+        if job.show:
+            kept.parsed.drop("processed_time").show(job.show, truncate=False)
         rows = counted.valid
         if job.by_date:
             rows = rows.select("*", *date_parts(F.col("processed_time")))
-        write_batch(
-            rows,
-            job.table,
-            batch_id,
-            bucket_by="id" if job.with_id else None,
-            buckets=job.buckets,
-            tasks_per_bucket=job.tasks_per_bucket,
-        )
-        counts = dict(seen_counts.get)
+        write_batch(rows, job.table, batch_id, cluster_by="id" if job.with_id else None)
+        counts = dict(observed.get)
         if counts["invalid"]:
             quarantine(kept.invalid, job.error_table, batch_id, location=job.error_location)
         if topics is not None and job.save_topic and counts["valid"]:

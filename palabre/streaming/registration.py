@@ -43,7 +43,7 @@ def register_batch(
     new = ingest_json(batch, USER).valid
     known = spark.read.table(table).filter(F.col(BATCH_COLUMN) < batch_id).select("email")
     accepted = register_unique(new, known, order_by).checkpoint()
-    write_batch(accepted, table, batch_id, bucket_by="id", buckets=buckets)
+    write_batch(accepted, table, batch_id, cluster_by="id")
 
 
 def start_registration(
