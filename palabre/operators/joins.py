@@ -16,9 +16,10 @@ def left_join(
 ) -> DataFrame:
     """All rows of ``left`` with their matches; the sides share no column name.
 
-    Keys with very many rows on the right are joined apart: the few left rows
-    with such keys meet the right rows where those are. The other keys take the
-    usual join. Left rows without a key match nothing and are not shuffled.
+    Adaptive execution can split large partitions of an inner join, but not the
+    right side of a left join. So keys with very many rows on the right are
+    joined apart, by an inner join (they have a match); the other keys take the
+    usual left join. Left rows without a key match nothing and are not shuffled.
     """
     present = right.filter(F.col(right_key).isNotNull())
     total = present.agg(F.count(F.lit(1))).scalar()
