@@ -1,0 +1,24 @@
+"""Measured sizes, for decisions that Spark cannot take from statistics."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Data up to this many bytes may go to every task instead of being shuffled.
+BROADCAST_BYTES = 8 << 20
+ROW_BYTES = 16
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The frame of texts, with a broadcast hint if its measured size is small.
+
+    Runs one aggregation over it. Streaming batches have no statistics, so Spark
+    would not broadcast them by itself.
+    """
+    size = F.lit(ROW_BYTES)
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(name), F.lit(0))
+    used = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
+    small = used <= limit
+    return (F.broadcast(df) if small else df), small

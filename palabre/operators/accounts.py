@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palabre.schemas import USER_LOGIN
@@ -34,6 +34,11 @@ def users_if_authenticated(
     return users.select(*shown).filter(login_matches(users, credentials).exists())
 
 
+def email_key(email: str = "email") -> Column:
+    """What makes a registration unique; a missing e-mail counts as ``''``."""
+    return F.coalesce(F.col(email), F.lit(""))
+
+
 def register_unique(
     new: DataFrame,
     existing: DataFrame,
@@ -42,11 +47,11 @@ def register_unique(
 ) -> DataFrame:
     """The registrations to accept: the first of each e-mail that is not known yet.
 
-    Give ``order_by`` columns that leave no ties. A missing e-mail counts as
-    ``''``. The first row per e-mail is picked on the map side already, so one
-    e-mail with very many registrations is cut down before the shuffle.
+    Give ``order_by`` columns that leave no ties. The first row per e-mail is
+    picked on the map side already, so one e-mail with very many registrations
+    is cut down before the shuffle.
     """
-    name = F.coalesce(F.col(email), F.lit(""))
+    name = email_key(email)
     first = Window.partitionBy("_email").orderBy(*order_by)
     candidates = (
         new.withColumn("_email", name)

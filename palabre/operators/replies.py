@@ -31,6 +31,7 @@ def json_reply(
     copies: str | None = None,
     columns: Sequence[str] | None = None,
     total: Column | None = None,
+    is_empty: Column | None = None,
     encoding: str = "object",
     request_key: str | None = None,
     max_rows: int = MAX_ROWS,
@@ -49,8 +50,8 @@ def json_reply(
     own. Without ``spread_by`` equal records are counted first and their copies
     spread, so no bucket grows with the copies of one record. ``copies`` names a
     column that already holds such counts. ``total`` is an upper bound for the
-    number of records, for rows that are dear to count. The cut depends on the
-    data only.
+    number of records and ``is_empty`` tells that there are none, for rows that
+    are dear to make twice. The cut depends on the data only.
     """
     if encoding not in ("object", "string"):
         raise ValueError(f"encoding must be 'object' or 'string', not {encoding!r}")
@@ -63,30 +64,31 @@ def json_reply(
         count.alias("copies"),
     )
     if not spread_by:
-        records = (
-            records.groupBy("record")
-            .agg(F.sum("copies").alias("copies"))
-            .withColumn("name", F.col("record"))
-        )
+        records = records.groupBy("record").agg(F.sum("copies").alias("copies"))
     if total is None:
         total = rows.agg(F.coalesce(F.sum(count), F.lit(0).cast("long"))).scalar()
+        is_empty = total == 0
+    elif is_empty is None:
+        is_empty = ~rows.exists()
     buckets = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(max_rows)))
 
     # A record with more copies than fit one message goes to several buckets.
     last_piece = F.expr(f"(copies - 1) div {max_rows}")
     pieces = records.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
-    placed = pieces.withColumn(
-        "bucket", bucket_of(F.concat_ws(":", F.col("name"), F.col("piece")), buckets)
-    ).repartition("bucket")
+    place_name = F.concat_ws(":", F.col("name" if spread_by else "record"), F.col("piece"))
+    placed = (
+        pieces.withColumn("bucket", bucket_of(place_name, buckets))
+        .drop("name")
+        .repartition("bucket")
+    )
     in_piece = F.least(F.lit(max_rows), F.col("copies") - F.col("piece") * max_rows)
     single = placed.select(
         "bucket",
-        "name",
         "record",
         F.explode(F.sequence(F.lit(1).cast("long"), in_piece)).alias("copy"),
     )
 
-    order = Window.partitionBy("bucket").orderBy("name", "record")
+    order = Window.partitionBy("bucket").orderBy("record")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     size = F.octet_length("record") + 1
     numbered = single.select(
@@ -119,7 +121,7 @@ def json_reply(
     )
     if empty is None:
         return reply
-    nothing = _one_message(rows, request_key, empty).filter(~rows.exists())
+    nothing = _one_message(rows, request_key, empty).filter(is_empty)
     return reply.unionByName(nothing)
 
 
@@ -139,6 +141,7 @@ def reply_messages(
         copies="copies",
         columns=columns,
         total=_size(messages) + _size(metadata),
+        is_empty=~messages.exists(),
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,

@@ -135,8 +135,8 @@ placed AS (
     FROM pieces, buckets),
 numbered AS (
     SELECT bucket, buckets, record,
-           ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY name, record) AS row,
-           SUM(strlen(record) + 1) OVER (PARTITION BY bucket ORDER BY name, record
+           ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY record) AS row,
+           SUM(strlen(record) + 1) OVER (PARTITION BY bucket ORDER BY record
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - strlen(record) - 1 AS start
     FROM placed),
 cut AS (

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from palabre.operators.accounts import register_unique
+from palabre.functions.sizes import broadcast_if_small
+from palabre.operators.accounts import email_key, register_unique
 from palabre.operators.ingest import ingest_json
 from palabre.schemas import ID_BUCKETS, USER, stored
 from palabre.sources.tables import BATCH_COLUMN, ensure_table, write_batch
@@ -40,10 +42,18 @@ def register_batch(
         partition_by={BATCH_COLUMN: "BIGINT"},
         location=location,
     )
-    new = ingest_json(batch, USER).valid
-    known = spark.read.table(table).filter(F.col(BATCH_COLUMN) < batch_id).select("email")
-    accepted = register_unique(new, known, order_by).checkpoint()
-    write_batch(accepted, table, batch_id, cluster_by="id")
+    new = ingest_json(batch, USER).valid.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        known = spark.read.table(table).filter(F.col(BATCH_COLUMN) < batch_id)
+        known = known.select(email_key().alias("email"))
+        tried, small = broadcast_if_small(new.select(email_key().alias("email")).distinct())
+        if small:
+            # Only the known e-mails that the batch tries again are shuffled.
+            known = known.join(tried, "email", "left_semi")
+        accepted = register_unique(new, known, order_by).checkpoint()
+        write_batch(accepted, table, batch_id, cluster_by="id")
+    finally:
+        new.unpersist()
 
 
 def start_registration(

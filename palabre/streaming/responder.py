@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palabre.functions.records import decode_value
+from palabre.functions.sizes import broadcast_if_small
 from palabre.operators.replies import reply_messages, reply_users, table_as_json
 from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN
 from palabre.sources.tables import read_table, table_exists
@@ -18,9 +19,6 @@ from palabre.streaming.queries import start_batches
 
 ReplyBuilder = Callable[[DataFrame, str | None], DataFrame]
 
-# Credentials up to this many bytes go to every task instead of being shuffled.
-BROADCAST_BYTES = 8 << 20
-
 
 def empty_reply(spark: SparkSession, request_key: str | None = None) -> DataFrame:
     return spark.createDataFrame([(request_key, EMPTY_REPLY)], REPLY)
@@ -52,12 +50,6 @@ def parse_credentials(requests: DataFrame) -> DataFrame:
     return records.select(F.from_json("raw_data", USER_LOGIN).alias("data")).select("data.*")
 
 
-def _small(df: DataFrame, columns: Sequence[str], limit: int) -> bool:
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) + 16 for c in columns), F.lit(0))
-    used = df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
-    return used["bytes"] <= limit
-
-
 def users_reply(users: str, **options) -> ReplyBuilder:
     """Replies with all users if a request's credentials are right, else an error.
 
@@ -68,9 +60,7 @@ def users_reply(users: str, **options) -> ReplyBuilder:
         spark = requests.sparkSession
         if _missing(spark, users):
             return empty_reply(spark, request_key)
-        credentials = parse_credentials(requests).dropna().distinct()
-        if _small(credentials, USER_LOGIN.names, BROADCAST_BYTES):
-            credentials = F.broadcast(credentials)
+        credentials, _ = broadcast_if_small(parse_credentials(requests).dropna().distinct())
         return reply_users(
             read_table(spark, users), credentials, request_key=request_key, **options
         )
