@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from palabre.functions.values import format_time
 from palabre.schemas import IA_MESSAGE
+from palabre.sources.files import spread
 
 # Fixed value: 2024-01-01 00:00:00 UTC, the origin of made-up times.
 EPOCH = 1_704_067_200
@@ -149,7 +150,7 @@ def message_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_type") == "signup", _json_text('{"user_id":"', user, '"', rest))
         .otherwise(_json_text('{"message":"error ', event, '","user_id":"', user))
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.lit(None).cast("binary").alias("key"),
         raw.cast("binary").alias("value"),
         F.lit(IA_MESSAGE).alias("topic"),
@@ -185,7 +186,7 @@ def purchase_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         ',"montant_total":', F.col("l_extendedprice"),
         ',"produit_details":{"produit_id":', F.col("l_partkey"), "}}",
     )
-    return table(spark, sf_dir, "lineitem").select(raw.alias("raw_data"))
+    return spread(table(spark, sf_dir, "lineitem")).select(raw.alias("raw_data"))
 
 
 def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,6 +199,6 @@ def user_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         '"nom":"', F.col("event_type"), '","email":"e', F.col("event_id"),
         '@example.com","date_inscription":"', format_time(F.col("ts")), '"}',
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         raw.alias("raw_data"), F.col("ts").cast("timestamp").alias("timestamp")
     )

@@ -22,6 +22,7 @@ from palabre.sources import (
     overwrite_table,
     read_json_records,
     read_table,
+    spread,
 )
 from palabre.sources.tables import DATE_COLUMNS
 from palabre.streaming import (
@@ -156,7 +157,7 @@ def classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def classify_with_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the labelled documents, then label all of them."""
-    messages = fx.messages(spark, sf_dir)
+    messages = spread(fx.messages(spark, sf_dir))
     toxic = fx.table(spark, sf_dir, "labels").select(
         F.col("doc_id").cast("string").alias("id"),
         F.when(F.col("toxic") == 1, schemas.MESSAGE_LABELS[0])

@@ -1,6 +1,6 @@
 """Where records come from and where results go: topics, tables and files."""
 
-from palabre.sources.files import read_json_records
+from palabre.sources.files import read_json_records, spread
 from palabre.sources.tables import (
     append_partitioned_by_date,
     append_table,
@@ -24,6 +24,7 @@ __all__ = [
     "quarantine",
     "read_json_records",
     "read_table",
+    "spread",
     "table_exists",
     "write_batch",
 ]

@@ -15,3 +15,13 @@ def read_json_records(
     that holds one pretty-printed document needs ``multi_line``.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The scan of a few files, with its rows handed to all cores.
+
+    For costly work per row on files that Spark cannot split into enough tasks. A
+    scan with at least one task per core is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

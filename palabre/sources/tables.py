@@ -54,10 +54,6 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")])
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
 def _aligned(df: DataFrame, table: str) -> DataFrame:
     """The frame's columns in the table's order, matched by name."""
     columns = df.sparkSession.read.table(table).columns
@@ -121,12 +117,13 @@ def write_batch(
     every task writes a file per bucket.
     """
     spark = df.sparkSession
-    columns = [c for c in spark.read.table(table).columns if c != BATCH_COLUMN]
-    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    columns = spark.read.table(table).columns
+    first_partition = columns.index(BATCH_COLUMN)
+    dynamic = columns[first_partition + 1 :]
+    rows = df.select(*[F.col(f"`{c}`") for c in columns if c != BATCH_COLUMN])
     if cluster_by:
         rows = rows.repartition(cluster_by)
-    dates = [c for c in columns if c in partition_columns(spark, table)]
-    partition = ", ".join([f"`{BATCH_COLUMN}` = {int(batch_id)}", *[f"`{c}`" for c in dates]])
+    partition = ", ".join([f"`{BATCH_COLUMN}` = {int(batch_id)}", *[f"`{c}`" for c in dynamic]])
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}",
         rows=rows,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -77,10 +78,11 @@ class KafkaTopics:
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics kept as Parquet files, one folder per topic.
+    """Topics kept as Parquet files.
 
-    A record's position is its file and its row in that file, so it stays the
-    same on every read.
+    Each publication has a folder of its own, so that several may run at once,
+    and in it a folder per topic. A record's position is its file and its row in
+    that file, so it stays the same on every read.
     """
 
     root: str
@@ -98,7 +100,7 @@ class FileTopics:
         )
 
     def _path(self, topic: str) -> str:
-        return f"{self.root}/topic={topic}"
+        return f"{self.root}/publication=*/topic={topic}"
 
     def stream(self, spark: SparkSession, topic: str, **options: str) -> DataFrame:
         reader = spark.readStream.schema(_FILE_SCHEMA).options(**options)
@@ -117,7 +119,6 @@ class FileTopics:
                 F.current_timestamp().alias("timestamp"),
                 "topic",
             )
-            .write.mode("append")
-            .partitionBy("topic")
-            .parquet(self.root)
+            .write.partitionBy("topic")
+            .parquet(f"{self.root}/publication={uuid.uuid4().hex}")
         )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -257,3 +258,12 @@ def test_batch_write_replaces_only_its_own_batch(spark, name):
     write_batch(second, name, 2)
     write_batch(first, name, 1)
     assert sorted(r["id"] for r in read_table(spark, name).collect()) == ["a", "b", "c"]
+
+
+def test_publications_may_run_at_once(spark, scratch):
+    topics = FileTopics(f"{scratch}/topics")
+    values = [[f"{n}-{i}" for i in range(50)] for n in range(6)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda v: send(spark, topics, "busy", v), values))
+    got = sorted(v for _, v in replies(spark, topics, "busy"))
+    assert got == sorted(v for group in values for v in group)
