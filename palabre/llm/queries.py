@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from palabre.llm.bpe import encode_documents
 from palabre.llm.common import bound_batches, read_table
 from palabre.llm.exact_dedup import exact_duplicates
 from palabre.llm.near_dedup import near_duplicates
+from palabre.llm.packing import pack_documents
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return pack_documents(docs, tokenizer, digests_only=True)
 
 
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,13 +26,22 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, digests_only=True)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {}
