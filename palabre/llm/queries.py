@@ -5,13 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from palabre.llm.bpe import encode_documents
 from palabre.llm.common import bound_batches, read_table
 from palabre.llm.exact_dedup import exact_duplicates
 from palabre.llm.near_dedup import near_duplicates
 from palabre.llm.packing import pack_documents
+from palabre.llm.toxicity import score_toxicity, train_toxicity
+
+
+def _fold(folds: int) -> Column:
+    """The part a document is in: the CRC-32 of its id as text, modulo the parts."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +28,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer, digests_only=True)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").filter(_fold(5) != 0)
+    scored = score_toxicity(docs, train_toxicity(docs, labels))
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     return near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -40,6 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,

@@ -35,18 +35,34 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(data: bytes, in_word: np.ndarray = NOT_SPACE) -> np.ndarray:
-    """A 64-bit hash for each word of the text, in order."""
+def words_of(
+    data: bytes, in_word: np.ndarray = NOT_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word of the text, in order: a 64-bit hash, its first byte, its length."""
     buf = np.frombuffer(data, dtype=np.uint8)
     inside = in_word[buf]
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
-    lengths = edges[1::2] - edges[0::2]
+    starts, lengths = edges[0::2], edges[1::2] - edges[0::2]
     if not len(lengths):
-        return np.empty(0, dtype=np.uint64)
+        return np.empty(0, dtype=np.uint64), starts, lengths
     first = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
     values = BYTE_VALUES[buf[inside]] * _powers(int(lengths.max()))[place]
-    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64))
+    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64)), starts, lengths
+
+
+def word_hashes(data: bytes, in_word: np.ndarray = NOT_SPACE) -> np.ndarray:
+    """A 64-bit hash for each word of the text, in order."""
+    return words_of(data, in_word)[0]
+
+
+def prefix_hashes(data: bytes, starts: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes from each start on, unlike that of a whole word."""
+    buf = np.frombuffer(data, dtype=np.uint8)
+    total = np.zeros(len(starts), dtype=np.uint64)
+    for k in range(size):
+        total += BYTE_VALUES[buf[starts + k]] * _powers(size)[k]
+    return mix(total ^ np.uint64(0x5555_0000_0000_0000 + size))
 
 
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
