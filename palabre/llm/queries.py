@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from palabre.llm.bpe import encode_documents
 from palabre.llm.common import bound_batches, read_table
 from palabre.llm.exact_dedup import exact_duplicates
+from palabre.llm.language_id import predict_language, train_language_id
 from palabre.llm.near_dedup import near_duplicates
 from palabre.llm.packing import pack_documents
 from palabre.llm.toxicity import score_toxicity, train_toxicity
@@ -28,6 +29,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer, digests_only=True)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    model = train_language_id(docs.filter(_fold(4) != 2))
+    predicted = predict_language(docs, model)
+    return predicted.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -55,6 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
