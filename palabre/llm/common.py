@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,33 @@ def ids_and_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     )
 
 
+def only_ids(docs: DataFrame, ids: DataFrame, most_bits: int = 1 << 25) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is in the stored, distinct ``ids``.
+
+    A bitmap of hashed ids, of a fixed size at most, drops most other rows before the
+    join that decides. With more ids than it can tell apart it only drops fewer rows.
+    """
+    spark = docs.sparkSession
+    bits = int(min(most_bits, 1 << max(12, (16 * ids.count()).bit_length())))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    words = (
+        ids.select(place.alias("p"))
+        .groupBy(F.shiftright("p", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
+        .toPandas()  # at most one row for 64 bits
+    )
+    bitmap = np.zeros(bits // 64, dtype=np.int64)
+    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = spark.sparkContext.broadcast(bitmap.view(np.uint64))
+
+    @F.pandas_udf("boolean")
+    def maybe(places: pd.Series) -> pd.Series:
+        at = places.to_numpy(np.int64)
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return docs.filter(maybe(place)).join(ids, "doc_id", "left_semi")
+
+
 def keep_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """The rows whose id is in ``ids``, one for each id; rows without an id all stay."""
     named = docs.filter(F.col(f"`{id_column}`").isNotNull())

@@ -7,8 +7,9 @@
 3. A pair's signatures are compared batch by batch. It is pruned as soon as the
    posterior probability that its similarity reaches the threshold is below the
    chosen miss probability. Survivors are verified on their whole sets.
-4. Links make components. Where a bucket still holds more than one component, members
-   outside its largest one are paired with the rest, so no link is lost that way.
+4. Links make components. In buckets that still hold several, members outside the
+   largest one are compared with all others, in blocks: a task gets a bounded number of
+   each and gives back links only, so no link is lost and no pairs are written.
 """
 
 from __future__ import annotations
@@ -22,15 +23,17 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palabre.llm.common import ids_and_texts, keep_ids, stage
+from palabre.llm.common import ids_and_texts, keep_ids, only_ids, stage
 from palabre.llm.components import connected_components
 from palabre.llm.text import mix, shingles
 
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 75
-BANDS, BAND_ROWS = 64, 6
+BANDS, BAND_ROWS = 40, 5
 #: Hashes compared at a time, and the posterior probability below which a pair is pruned.
-BATCH, MISS = 32, 1e-7
+BATCH, MISS = 20, 1e-7
+#: Members of a bucket, outside its largest component and of all, that one task compares.
+OUTSIDE_ROWS, MEMBER_ROWS = 256, 512
 
 _HASHES = BANDS * BAND_ROWS
 _RANDOM = np.random.default_rng(75)
@@ -107,20 +110,68 @@ def _bands(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def _alive(left: np.ndarray, right: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """Which pairs of rows are left after all batches of hashes."""
+    alive = np.arange(max(len(left), len(right)))
+    left, right = np.broadcast_arrays(left, right)
+    matches = np.zeros(len(alive), dtype=np.int64)
+    for k, least in enumerate(needed):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
+        alive = alive[matches[alive] >= least]
+    return alive
+
+
+def _signatures(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, _HASHES)
+
+
 def _pruned(needed: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
+            if len(batch):
+                sides = _signatures(batch["signature_a"]), _signatures(batch["signature_b"])
+                yield batch[["a", "b"]].iloc[_alive(*sides, needed)]
+
+    return run
+
+
+def _compared(percent: int, needed: np.ndarray):
+    """Links of the outside members of a bucket's block, one to each other component."""
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        bucket, links = int(key[0]), []
+        outside, all_ = rows[rows["outside"]], rows[~rows["outside"]]
+        if not len(outside) or not len(all_):
+            return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+        signs = _signatures(all_["signature"])
+        bands = band_keys(signs)
+        ids, parts = all_["member"].to_numpy(), all_["part"].to_numpy()
+        inner = parts == all_["main"].to_numpy()
+        sets = [shingles(t, SHINGLE_WORDS) for t in all_["text"]]
+        sizes = np.array([len(x) for x in sets])
+        own_signs = _signatures(outside["signature"])
+        for i, (one, part, text) in enumerate(
+            zip(outside["member"], outside["part"], outside["text"], strict=True)
+        ):
+            items = shingles(text, SHINGLE_WORDS)
+            same_band = bands == band_keys(own_signs[i : i + 1])
+            # A pair that meets in several buckets is compared in the first of them.
+            first = bands[np.arange(len(bands)), same_band.argmax(axis=1)] == bucket
+            apart = (parts != part) & (inner | (ids < one))
+            near = 100 * np.minimum(sizes, len(items)) >= percent * np.maximum(sizes, len(items))
+            wanted = np.flatnonzero(first & apart & near)
+            wanted = wanted[_alive(own_signs[i : i + 1], signs[wanted], needed)] if len(wanted) else wanted
+            if not len(wanted):
                 continue
-            left = np.frombuffer(b"".join(batch["sign_a"]), np.uint16).reshape(-1, _HASHES)
-            right = np.frombuffer(b"".join(batch["sign_b"]), np.uint16).reshape(-1, _HASHES)
-            alive = np.arange(len(batch))
-            matches = np.zeros(len(batch), dtype=np.int64)
-            for k, least in enumerate(needed):
-                part = slice(k * BATCH, (k + 1) * BATCH)
-                matches[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
-                alive = alive[matches[alive] >= least]
-            yield batch[["a", "b"]].iloc[alive]
+            joined = np.concatenate([sets[j] for j in wanted])
+            at = np.minimum(np.searchsorted(items, joined), len(items) - 1)
+            starts = np.cumsum(sizes[wanted]) - sizes[wanted]
+            common = np.add.reduceat((items[at] == joined).astype(np.int64), starts)
+            linked = wanted[100 * common >= percent * (sizes[wanted] + len(items) - common)]
+            _, firsts = np.unique(parts[linked], return_index=True)
+            links += [(one, b) for b in ids[linked[firsts]]]
+        return pd.DataFrame(links, columns=["a", "b"]).astype(np.int64)
 
     return run
 
@@ -150,21 +201,53 @@ def _near_size(x: Column, y: Column, percent: int) -> Column:
     return (100 * F.least(x, y)) >= (percent * F.greatest(x, y))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs that pass the Bayesian comparison and the exact verification."""
-    a = sets.select(F.col("doc_id").alias("a"), F.col("signature").alias("sign_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("signature").alias("sign_b"))
-    left = stage(
-        pairs.join(a, "a").join(b, "b").mapInPandas(_pruned(least_matches(percent, MISS)), "a long, b long"),
-        "survivors",
+
+    def side(name: str, column: str) -> DataFrame:
+        return members.select(F.col("doc_id").alias(name), F.col(column).alias(f"{column}_{name}"))
+
+    signed = pairs.join(side("a", "signature"), "a").join(side("b", "signature"), "b")
+    left = stage(signed.mapInPandas(_pruned(least_matches(percent, MISS)), "a long, b long"), "survivors")
+    texts = left.join(side("a", "text"), "a").join(side("b", "text"), "b")
+    return stage(texts.mapInPandas(_verified(percent), "a long, b long"), "links")
+
+
+def _leftover_links(buckets: DataFrame, links: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Links within buckets whose members are still in several components."""
+    parts = connected_components(links).withColumnRenamed("id", "member")
+    placed = buckets.join(parts, "member", "left").select(
+        "bucket", "member", F.coalesce("component", "member").alias("part")
     )
-    ids = left.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    needed = stage(texts.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    x = needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    y = needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return stage(
-        left.join(x, "a").join(y, "b").mapInPandas(_verified(percent), "a long, b long"), "links"
+    counted = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    largest = (
+        counted.groupBy("bucket")
+        .agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+        .filter("parts > 1")
+        .select(
+            "bucket",
+            F.col("most.part").alias("main"),
+            F.ceil((F.col("n") - F.col("most.n")) / OUTSIDE_ROWS).alias("blocks"),
+            F.ceil(F.col("n") / MEMBER_ROWS).alias("chunks"),
+        )
     )
+    mixed = stage(placed.join(largest, "bucket"), "mixed")
+
+    def dealt(own: str, other: str, outside: bool) -> DataFrame:
+        """Each row goes to one part by its id, and to all parts of the other kind."""
+        names = ("block", "chunk") if outside else ("chunk", "block")
+        last = (F.col(other) - 1).cast("int")
+        return mixed.select(
+            "bucket", "member", "part", "main",
+            F.lit(outside).alias("outside"),
+            F.pmod(F.xxhash64("member"), F.col(own)).cast("int").alias(names[0]),
+            F.explode(F.sequence(F.lit(0), last)).alias(names[1]),
+        )
+
+    rows = dealt("blocks", "chunks", True).filter("part <> main").unionByName(dealt("chunks", "blocks", False))
+    full = rows.join(members.withColumnRenamed("doc_id", "member"), "member")
+    compare = _compared(percent, least_matches(percent, MISS))
+    return stage(full.groupBy("bucket", "block", "chunk").applyInPandas(compare, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -174,7 +257,7 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     ``100 * intersection >= percent * union`` of their sets of five-word shingles; shorter
     texts are one shingle. Missing texts and texts without words are linked with nothing.
     Equal sets are always linked. A pair at the threshold shares no band with a
-    probability of (1 - 0.75^6)^64, below 4 in a million, and less above it. Rows
+    probability of (1 - 0.75^5)^40, 2 in 100,000, and less the more alike it is. Rows
     without a doc_id are left out; repeated rows give repeated results.
     """
     texts = ids_and_texts(docs).filter(F.col("doc_id").isNotNull())
@@ -182,72 +265,36 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
         texts.mapInPandas(_sets, "doc_id long, n_shingles long, set_key string, signature binary"),
         "sets",
     )
-    filled = sets.filter("n_shingles > 0")
-    classes = stage(filled.groupBy("set_key").agg(F.min("doc_id").alias("head")), "classes")
+    least = F.min(F.struct("doc_id", "n_shingles", "signature")).alias("head")
     heads = stage(
-        sets.select("doc_id", "n_shingles", "signature")
-        .join(classes.select(F.col("head").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"]),
-        "heads",
+        sets.filter("n_shingles > 0").groupBy("set_key").agg(least).select("set_key", "head.*"), "heads"
     )
     bands = heads.mapInPandas(_bands, "bucket long, member long, size long")
-    shared = bands.groupBy("bucket").agg(
-        F.min(F.struct("member", "size")).alias("pivot"), F.count(F.lit(1)).alias("n")
-    )
-    buckets = stage(
-        bands.join(shared.filter("n > 1").drop("n"), "bucket").select("bucket", "member", "size", "pivot"),
-        "buckets",
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    buckets = stage(bands.join(shared, "bucket", "left_semi"), "buckets")
+    ids = stage(buckets.select(F.col("member").alias("doc_id")).distinct(), "ids")
+    members = stage(
+        only_ids(texts, ids)
+        .dropDuplicates(["doc_id"])
+        .join(heads.select("doc_id", "signature"), "doc_id"),
+        "members",
     )
+
+    first = buckets.groupBy("bucket").agg(F.min(F.struct("member", "size")).alias("pivot"))
     near = _near_size(F.col("size"), F.col("pivot.size"), percent)
-    star = (
-        buckets.filter((F.col("member") != F.col("pivot.member")) & near)
-        .select(F.col("member").alias("a"), F.col("pivot.member").alias("b"))
-        .distinct()
-    )
-    links = _links(star, heads, texts, percent)
-    parts = connected_components(links)
+    star = buckets.join(first, "bucket").filter((F.col("member") != F.col("pivot.member")) & near)
+    star = star.select(F.col("member").alias("a"), F.col("pivot.member").alias("b")).distinct()
+    links = _links(star, members, percent)
 
-    # Buckets that still hold several components: members outside the largest one
-    # meet the others.
-    placed = buckets.join(parts.withColumnRenamed("id", "member"), "member", "left").select(
-        "bucket", "member", "size", "pivot", F.coalesce("component", "member").alias("part")
-    )
-    counted = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    largest = counted.groupBy("bucket").agg(
-        F.max(F.struct("n", "part")).alias("most"), F.count(F.lit(1)).alias("parts")
-    )
-    mixed = stage(
-        placed.join(largest.filter("parts > 1").select("bucket", "most.part"). withColumnRenamed("part", "main"), "bucket"),
-        "mixed",
-    )
-    outside = mixed.filter("part <> main").select(
-        "bucket", F.col("member").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a")
-    )
-    others = mixed.select(
-        "bucket", F.col("member").alias("b"), F.col("size").alias("size_b"),
-        F.col("part").alias("part_b"), "main", F.col("pivot.member").alias("pivot"),
-    )
-    rest = (
-        outside.join(others, "bucket")
-        .filter(
-            (F.col("part_a") != F.col("part_b"))
-            & ((F.col("part_b") == F.col("main")) | (F.col("b") < F.col("a")))
-            & (F.col("a") != F.col("pivot"))
-            & (F.col("b") != F.col("pivot"))
-            & _near_size(F.col("size_a"), F.col("size_b"), percent)
-        )
-        .select("a", "b")
-        .distinct()
-    )
-    more = _links(rest, heads, texts, percent)
+    more = _leftover_links(buckets, links, members, percent)
     linked = connected_components(links.unionByName(more))
 
-    members = classes.join(linked, F.col("head") == F.col("id"), "left").select(
-        "set_key", F.coalesce("component", "head").alias("component_id")
+    named = heads.join(linked, F.col("doc_id") == F.col("id"), "left").select(
+        "set_key", F.coalesce("component", "doc_id").alias("component_id")
     )
     return (
         sets.select("doc_id", "n_shingles", "set_key")
-        .join(members, "set_key", "left")
+        .join(named, "set_key", "left")
         .select(
             "doc_id",
             "n_shingles",
