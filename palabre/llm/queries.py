@@ -12,9 +12,12 @@ from palabre.llm.bpe import encode_documents
 from palabre.llm.common import bound_batches, read_table
 from palabre.llm.exact_dedup import exact_duplicates
 from palabre.llm.language_id import predict_language, train_language_id
+from palabre.llm.license_scan import scan_licenses
 from palabre.llm.near_dedup import near_duplicates
 from palabre.llm.packing import pack_documents
+from palabre.llm.quality import judge_quality
 from palabre.llm.toxicity import score_toxicity, train_toxicity
+from palabre.llm.url_filter import filter_urls
 
 
 def _fold(folds: int) -> Column:
@@ -22,6 +25,25 @@ def _fold(folds: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from pages whose id has a label: low quality or toxic ones are blocked."""
+    pages = read_table(spark, sf_dir, "pages")
+    labels = read_table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"),
+        F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False)).alias("blocked"),
+    )
+    return filter_urls(pages, pages.select("page_id", "url").join(labels, "page_id"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(read_table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     bound_batches(spark)
     docs = read_table(spark, sf_dir, "documents")
@@ -63,6 +85,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_license_scan": op2_license_scan,
+    "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
     "op7_toxicity": op7_toxicity,
