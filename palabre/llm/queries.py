@@ -15,11 +15,16 @@ from palabre.llm.language_id import predict_language, train_language_id
 from palabre.llm.license_scan import scan_licenses
 from palabre.llm.near_dedup import near_duplicates
 from palabre.llm.packing import pack_documents
+from palabre.llm.pii import pseudonymise
 from palabre.llm.quality import judge_quality
 from palabre.llm.toxicity import score_toxicity, train_toxicity
 from palabre.llm.url_filter import filter_urls
 
 
+#: For the checked queries; a user keeps a key of their own secret.
+PSEUDONYM_KEY = "palabre-check"
+
+
 def _fold(folds: int) -> Column:
     """The part a document is in: the CRC-32 of its id as text, modulo the parts."""
     return F.crc32(F.col("doc_id").cast("string")) % folds
@@ -40,6 +45,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents"))
 
 
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, PSEUDONYM_KEY, counted="n_private")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(read_table(spark, sf_dir, "documents"))
 
@@ -87,6 +97,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_license_scan": op2_license_scan,
+    "op3_pii_pseudonyms": op3_pii_pseudonyms,
     "op4_quality_rules": op4_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_language_id": op6_language_id,
