@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage, and their SQL twins."""
+"""The registered queries of this subpackage; ``ORACLES`` has the SQL twins of some."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from palabre.llm.exact_dedup import exact_duplicates
 from palabre.llm.language_id import predict_language, train_language_id
 from palabre.llm.license_scan import scan_licenses
 from palabre.llm.near_dedup import near_duplicates
+from palabre.llm.oracles import ORACLES
 from palabre.llm.packing import pack_documents
 from palabre.llm.pii import pseudonymise
 from palabre.llm.quality import judge_quality
@@ -51,7 +52,9 @@ def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_quality(read_table(spark, sf_dir, "documents"))
+    judged = judge_quality(read_table(spark, sf_dir, "documents"))
+    distances = {c: F.round(c, 6) for c in ("kinds_distance", "words_distance")}
+    return judged.withColumns(distances)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "PSEUDONYM_KEY", "QUERIES"]
