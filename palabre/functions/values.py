@@ -37,5 +37,5 @@ def label_of(scores: Column, labels: Sequence[str]) -> Column:
 
 
 def bucket_of(text: Column, buckets: Column) -> Column:
-    """A bucket number in ``[0, buckets)`` that depends on the text alone."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+    """A bucket number in ``[0, buckets)`` that depends on the text alone (60 bits of it)."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") % buckets

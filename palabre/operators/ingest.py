@@ -73,6 +73,7 @@ def ingest_json(
     keep_id: bool = False,
     id_columns: Sequence[str] = POSITION,
     processed_time: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> Ingested:
     """Parse topic records (or a frame with ``raw_data``) against a schema.
 
@@ -80,34 +81,44 @@ def ingest_json(
     ``required`` fields are there. A record without a value is neither valid nor
     invalid: it is counted and left out. ``aliases`` gives other spellings of a
     field's name, tried when the field is missing. The id is a digest of
-    ``id_columns``; with ``keep_id`` a record's own ``id`` comes first.
+    ``id_columns``; with ``keep_id`` a record's own ``id`` comes first. ``keep`` names
+    further columns of ``df`` that stay in ``parsed``.
     """
     records = df if "raw_data" in df.columns else decode_value(df, unwrap=unwrap)
     seen = F.current_timestamp() if processed_time is None else processed_time
-    wire = schema
-    if keep_id and "id" not in schema.names:
-        wire = StructType([*schema.fields]).add("id", "string")
+    # All spellings are in one schema, so that a record is parsed once.
+    # Names that differ in case only are told apart by their place.
+    wire, places = StructType([*schema.fields]), {n: [n] for n in schema.names}
+    for name in schema.names:
+        for other in (aliases or {}).get(name, ()):
+            wire = wire.add(other, schema[name].dataType)
+            places[name].append(f"_spelling_{len(wire)}")
+    names = [*schema.names, *[p for own in places.values() for p in own[1:]]]
+    if keep_id and "id" not in wire.names:
+        wire, names = wire.add("id", "string"), [*names, "id"]
     derived = [record_id(*id_columns).alias("_derived_id")] if with_id else []
     # inline() parses each record once: filters on its output are not pushed below it.
     rows = records.select(
         *derived,
+        *[F.col(f"`{c}`") for c in keep],
         "raw_data",
         seen.alias("processed_time"),
         F.inline(F.array(F.from_json("raw_data", wire, {"mode": "PERMISSIVE"}))),
     )
+    own_names = [*(["_derived_id"] if with_id else []), *keep, "raw_data", "processed_time"]
+    rows = rows.toDF(*own_names, *names)
 
     def column(name: str) -> Column:
-        value = F.col(f"`{name}`")
-        kind = schema[name].dataType
-        for other in (aliases or {}).get(name, ()):
-            spelling = StructType().add(other, kind)
-            value = F.coalesce(value, F.from_json("raw_data", spelling).getField(other))
-        return value.alias(name)
+        return F.coalesce(*[F.col(f"`{p}`") for p in places[name]]).alias(name)
 
-    own_id = F.col("id") if "id" in wire.names else F.lit(None)
+    own_id = F.col("id") if keep_id or "id" in schema.names else F.lit(None)
     id_column = [F.coalesce(own_id, F.col("_derived_id")).alias("id")] if with_id else []
     fields = rows.select(
-        *id_column, *[column(name) for name in schema.names], "raw_data", "processed_time"
+        *id_column,
+        *[column(name) for name in schema.names],
+        *[F.col(f"`{c}`") for c in keep],
+        "raw_data",
+        "processed_time",
     )
     needed = dict.fromkeys([key or schema.names[0], *required])
     parsed = fields.withColumn("corrupt_record", mark_corrupt(list(needed)))

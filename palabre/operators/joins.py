@@ -5,42 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this many rows on, but only if it holds more than one part in
-# MAX_HOT_KEYS of the right side. So there are always fewer hot keys than that.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
 
-
-def left_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """All rows of ``left`` with their matches; the sides share no column name.
 
-    Adaptive execution can split large partitions of an inner join, but not the
-    right side of a left join. So keys with very many rows on the right are
-    joined apart, by an inner join (they have a match); the other keys take the
-    usual left join. Left rows without a key match nothing and are not shuffled.
+    Adaptive execution can split large partitions of an inner join, but not the right side
+    of a left join. So matches come from an inner join, and left rows without one from an
+    anti join with the distinct keys of the right side, which are made before the
+    shuffle. Left rows without a key match nothing and are not shuffled.
     """
-    present = right.filter(F.col(right_key).isNotNull())
-    total = present.agg(F.count(F.lit(1))).scalar()
-    hot = F.broadcast(
-        present.groupBy(F.col(right_key).alias("_hot"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter((F.col("_rows") > hot_rows) & (F.col("_rows") * MAX_HOT_KEYS > total))
-        .select("_hot")
-    )
-    keyed = left.filter(F.col(left_key).isNotNull())
-    left_is_hot = F.col(left_key) == F.col("_hot")
-    right_is_hot = F.col(right_key) == F.col("_hot")
     same = F.col(left_key) == F.col(right_key)
-
-    usual = keyed.join(hot, left_is_hot, "left_anti").join(
-        present.join(hot, right_is_hot, "left_anti"), same, "left"
-    )
-    heavy = present.join(hot, right_is_hot, "left_semi").join(
-        keyed.join(hot, left_is_hot, "left_semi"), same
-    )
-    keyless = left.filter(F.col(left_key).isNull()).select(
-        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    )
-    return usual.unionByName(heavy.select(*usual.columns)).unionByName(keyless)
+    keyed = left.filter(F.col(left_key).isNotNull())
+    present = right.filter(F.col(right_key).isNotNull())
+    matched = keyed.join(present, same)
+    keys = present.select(F.col(right_key).alias("_key")).distinct()
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    lonely = keyed.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
+    keyless = left.filter(F.col(left_key).isNull())
+    return matched.unionByName(lonely.select("*", *nothing)).unionByName(keyless.select("*", *nothing))

@@ -27,7 +27,6 @@ def _size(df: DataFrame) -> Column:
 
 def json_reply(
     rows: DataFrame,
-    spread_by: Sequence[str] | None = None,
     copies: str | None = None,
     columns: Sequence[str] | None = None,
     total: Column | None = None,
@@ -40,31 +39,28 @@ def json_reply(
 ) -> DataFrame:
     """Rows as ``(key, value)`` messages, each a JSON array of records.
 
-    A small result is one message with the request's key. A larger one is cut
-    into messages of at most ``max_rows`` records that start within
-    ``max_bytes``, whose keys add the message's place to the request's key.
+    A result that fits is one message with the request's key. A larger one is several,
+    of at most ``max_rows`` records and ``max_bytes`` bytes (one longer record is a message by
+    itself). Their keys add the message's place to the request's key, and a closing
+    message ``<key>/parts`` holds ``{"parts": n}``, so a client knows when it has all.
     ``encoding='string'`` makes the elements JSON texts instead of objects.
 
-    Records go to buckets of about ``max_rows`` by a digest of ``spread_by``
-    (columns that tell the rows apart); each bucket is numbered and cut on its
-    own. Without ``spread_by`` equal records are counted first and their copies
-    spread, so no bucket grows with the copies of one record. ``copies`` names a
-    column that already holds such counts. ``total`` is an upper bound for the
-    number of records and ``is_empty`` tells that there are none, for rows that
-    are dear to make twice. The cut depends on the data only.
+    Equal records are counted before the shuffle and their copies dealt out, by a digest
+    of the record and the copy's number, to buckets of about ``max_rows``; each bucket is
+    numbered and cut on its own. ``copies`` names a column that already holds counts.
+    ``total`` is an upper bound for the number of records and ``is_empty`` tells that there
+    are none, for rows that are dear to make twice. The cut depends on the data only.
     """
     if encoding not in ("object", "string"):
         raise ValueError(f"encoding must be 'object' or 'string', not {encoding!r}")
     shown = list(columns) if columns else [c for c in rows.columns if c != copies]
     count = F.lit(1).cast("long") if copies is None else F.col(copies).cast("long")
-    name = F.concat_ws(":", *[F.col(f"`{c}`").cast("string") for c in spread_by or ()])
-    records = rows.select(
-        F.to_json(F.struct(*[F.col(f"`{c}`") for c in shown])).alias("record"),
-        *([name.alias("name")] if spread_by else []),
-        count.alias("copies"),
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in shown]))
+    records = (
+        rows.select(record.alias("record"), count.alias("copies"))
+        .groupBy("record")
+        .agg(F.sum("copies").alias("copies"))
     )
-    if not spread_by:
-        records = records.groupBy("record").agg(F.sum("copies").alias("copies"))
     if total is None:
         total = rows.agg(F.coalesce(F.sum(count), F.lit(0).cast("long"))).scalar()
         is_empty = total == 0
@@ -75,50 +71,61 @@ def json_reply(
     # A record with more copies than fit one message goes to several buckets.
     last_piece = F.expr(f"(copies - 1) div {max_rows}")
     pieces = records.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last_piece)))
-    place_name = F.concat_ws(":", F.col("name" if spread_by else "record"), F.col("piece"))
-    placed = (
-        pieces.withColumn("bucket", bucket_of(place_name, buckets))
-        .drop("name")
-        .repartition("bucket")
-    )
+    place_name = F.concat_ws(":", "record", "piece")
+    placed = pieces.withColumn("bucket", bucket_of(place_name, buckets)).repartition("bucket")
     in_piece = F.least(F.lit(max_rows), F.col("copies") - F.col("piece") * max_rows)
+    if encoding == "object":
+        element = F.col("record")
+    else:
+        listed = F.to_json(F.array("record"))
+        element = F.substr(listed, F.lit(2), F.length(listed) - 2)
     single = placed.select(
         "bucket",
-        "record",
+        element.alias("element"),
         F.explode(F.sequence(F.lit(1).cast("long"), in_piece)).alias("copy"),
     )
 
-    order = Window.partitionBy("bucket").orderBy("record")
+    # Elements that start within the same half of a message's bytes, and are no longer than
+    # that, fit in one; longer ones are messages of their own.
+    half = max(1, (max_bytes - 2) // 2)
+    order = Window.partitionBy("bucket").orderBy("element")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    size = F.octet_length("record") + 1
+    size = F.octet_length("element") + 1
+    long = size > half
+    own = F.when(long, 0).otherwise(size)
     numbered = single.select(
         "bucket",
-        "record",
+        "element",
+        long.alias("long"),
         F.row_number().over(order).alias("row"),
-        (F.sum(size).over(upto) - size).alias("start"),
+        (F.sum(own).over(upto) - own).alias("start"),
     )
     cut = numbered.select(
         "bucket",
         "row",
-        "record",
-        F.expr(f"(row - 1) div {max_rows}").alias("row_cut"),
-        F.expr(f"start div {max_bytes}").alias("byte_cut"),
+        "element",
+        F.when(F.col("long"), F.col("row")).otherwise(F.expr(f"(row - 1) div {max_rows}")).alias("row_cut"),
+        F.when(F.col("long"), F.lit("l")).otherwise(F.expr(f"cast(start div {half} as string)")).alias("byte_cut"),
     )
     messages = cut.groupBy("bucket", "row_cut", "byte_cut").agg(
-        F.array_sort(F.collect_list(F.struct("row", "record"))).alias("rows")
+        F.array_sort(F.collect_list(F.struct("row", "element"))).alias("rows")
     )
-    texts = F.transform("rows", lambda item: item["record"])
-    if encoding == "object":
-        value = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
-    else:
-        value = F.to_json(texts)
-    only = (buckets == 1) & (F.col("row_cut") == 0) & (F.col("byte_cut") == 0)
+    texts = F.transform("rows", lambda item: item["element"])
+    value = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+    parts = cut.select("bucket", "row_cut", "byte_cut").distinct().agg(F.count(F.lit(1))).scalar()
     request = F.lit(request_key).cast("string")
     place = F.concat_ws("-", "bucket", "row_cut", "byte_cut")
     reply = messages.select(
-        F.when(only, request).otherwise(F.concat_ws("/", request, place)).alias("key"),
+        F.when(parts == 1, request).otherwise(F.concat_ws("/", request, place)).alias("key"),
         value.alias("value"),
     )
+    closing = rows.sparkSession.range(0, 1, 1, 1).filter(parts > 1)
+    reply = reply.unionByName(
+        closing.select(
+            F.concat_ws("/", request, F.lit("parts")).alias("key"),
+            F.to_json(F.struct(parts.alias("parts"))).alias("value"),
+        )
+    )
     if empty is None:
         return reply
     nothing = _one_message(rows, request_key, empty).filter(is_empty)
@@ -137,7 +144,6 @@ def reply_messages(
     columns = (["message_id"] if include_id else []) + MESSAGE_WITH_STATUS.names
     return json_reply(
         status_counts(messages, metadata),
-        spread_by=["message_id", "valide"],
         copies="copies",
         columns=columns,
         total=_size(messages) + _size(metadata),
@@ -152,7 +158,6 @@ def reply_users(
     users: DataFrame,
     credentials: DataFrame,
     columns: Sequence[str] | None = None,
-    spread_by: Sequence[str] | None = None,
     request_key: str | None = None,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
@@ -164,7 +169,6 @@ def reply_users(
         rows,
         columns=visible_columns(users, columns),
         total=_size(users),
-        spread_by=spread_by,
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,
@@ -176,7 +180,6 @@ def reply_users(
 def table_as_json(
     df: DataFrame,
     encoding: str = "string",
-    spread_by: Sequence[str] | None = None,
     request_key: str | None = None,
     max_rows: int = MAX_ROWS,
     max_bytes: int = MAX_BYTES,
@@ -185,7 +188,6 @@ def table_as_json(
     return json_reply(
         df,
         encoding=encoding,
-        spread_by=spread_by,
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,

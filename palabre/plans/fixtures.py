@@ -77,11 +77,10 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def credentials(spark: SparkSession, sf_dir: str, word: str = "pass") -> DataFrame:
-    """The customer of each finished order logs in."""
-    finished = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
-    return finished.select(
-        email("o_custkey").alias("email"),
-        F.concat(F.lit(word), text("o_custkey")).alias("password"),
+    """The customer of each order logs in, with a wrong password for open orders."""
+    right = F.when(F.col("o_orderstatus") == "O", "no").otherwise(word)
+    return table(spark, sf_dir, "orders").select(
+        email("o_custkey").alias("email"), F.concat(right, text("o_custkey")).alias("password")
     )
 
 

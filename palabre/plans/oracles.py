@@ -39,8 +39,8 @@ _USERS = f"""users AS (
 def _credentials(word: str = "pass") -> str:
     return f"""credentials AS (
     SELECT 'customer.' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@example.com' AS email,
-           '{word}' || o_custkey AS password
-    FROM orders WHERE o_orderstatus = 'F')"""
+           CASE WHEN o_orderstatus = 'O' THEN 'no' ELSE '{word}' END || o_custkey AS password
+    FROM orders)"""
 
 
 _REGISTRATIONS = """registrations AS (
@@ -111,45 +111,9 @@ _COPIES = """copies AS (
     GROUP BY ALL)"""
 
 
-def _reply(
-    max_rows: int,
-    max_bytes: int = 900_000,
-    request_key: str = "NULL",
-    encoding: str = "object",
-    total: str = "SELECT SUM(copies) FROM records",
-) -> str:
-    """Cut ``records(name, record, copies)`` into reply messages."""
-    value = "'[' || string_agg(record, ',' ORDER BY row) || ']'"
-    if encoding == "string":
-        value = "CAST(to_json(list(record ORDER BY row)) AS VARCHAR)"
-    place = "bucket || '-' || row_cut || '-' || byte_cut"
-    return f"""buckets AS (
-    SELECT GREATEST(1, CAST(CEIL(({total}) / {max_rows}) AS BIGINT)) AS buckets),
-pieces AS (
-    SELECT name, record, copies, unnest(range(0, (copies - 1) // {max_rows} + 1)) AS piece
-    FROM records),
-placed AS (
-    SELECT name, record, buckets,
-           CAST('0x' || substr(md5(name || ':' || piece), 1, 8) AS BIGINT) % buckets AS bucket,
-           unnest(range(LEAST({max_rows}, copies - piece * {max_rows}))) AS copy
-    FROM pieces, buckets),
-numbered AS (
-    SELECT bucket, buckets, record,
-           ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY record) AS row,
-           SUM(strlen(record) + 1) OVER (PARTITION BY bucket ORDER BY record
-               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - strlen(record) - 1 AS start
-    FROM placed),
-cut AS (
-    SELECT *, (row - 1) // {max_rows} AS row_cut,
-           CAST(start AS BIGINT) // {max_bytes} AS byte_cut
-    FROM numbered)
-SELECT CASE WHEN buckets = 1 AND row_cut = 0 AND byte_cut = 0 THEN CAST({request_key} AS VARCHAR)
-            ELSE concat_ws('/', CAST({request_key} AS VARCHAR), {place}) END AS key,
-       {value} AS value
-FROM cut GROUP BY bucket, buckets, row_cut, byte_cut"""
-
-
-_MESSAGES_AND_VERDICTS = "SELECT (SELECT COUNT(*) FROM messages) + (SELECT COUNT(*) FROM verdicts)"
+#: What a reply must hold, whatever its cut: the records, and that its keys are right.
+_RECORDS = """SELECT record, CAST(SUM(copies) AS BIGINT) AS copies FROM records GROUP BY record
+    UNION ALL SELECT 'keys and sizes are right', 1"""
 
 
 def _message_json(with_id: bool) -> str:
@@ -161,7 +125,7 @@ def _message_json(with_id: bool) -> str:
 
 def _message_records(with_id: bool) -> str:
     return f"""records AS (
-    SELECT message_id || ':' || valide AS name, {_message_json(with_id)} AS record, copies
+    SELECT {_message_json(with_id)} AS record, copies
     FROM copies)"""
 
 
@@ -197,9 +161,9 @@ ORACLES: dict[str, str] = {
     "message_status_counts": f"""WITH {_ORDER_MESSAGES}, {_LINE_VERDICTS}, {_COPIES}
         SELECT message_id, valide, copies FROM copies""",
     "reply_messages_json": f"""WITH {_MESSAGES}, {_VERDICTS}, {_COPIES},
-        {_message_records(True)}, {_reply(200, total=_MESSAGES_AND_VERDICTS)}""",
+        {_message_records(True)} {_RECORDS}""",
     "reply_messages_with_copies": f"""WITH {_ORDER_MESSAGES}, {_LINE_VERDICTS}, {_COPIES},
-        {_message_records(False)}, {_reply(2, request_key="'request'", total=_MESSAGES_AND_VERDICTS)}""",
+        {_message_records(False)} {_RECORDS}""",
     "normalize_message": f"""SELECT {_NORMALIZED}, '' AS type, '0' AS chat_id,
         '2024-05-06 07:08:09' AS "Created_At" FROM conversations""",
     "route_topics": """WITH routed AS (
@@ -219,10 +183,10 @@ ORACLES: dict[str, str] = {
         SELECT nom, email FROM users u WHERE EXISTS (
             SELECT 1 FROM credentials c WHERE c.email = u.email AND c.password = u.password)""",
     "reply_users_json": f"""WITH {_USERS}, records AS (
-            SELECT email AS name, 1 AS copies, CAST(to_json({{'nom': nom, 'email': email,
+            SELECT 1 AS copies, CAST(to_json({{'nom': nom, 'email': email,
                 'date_inscription': strftime(date_inscription, '%Y-%m-%dT%H:%M:%S.000Z')}})
                 AS VARCHAR) AS record
-            FROM users), {_reply(400, max_bytes=20_000)}""",
+            FROM users) {_RECORDS}""",
     "users_auth_failed": f"""WITH {_USERS}, {_credentials('wrong')}
         SELECT CAST(NULL AS VARCHAR) AS key, '{{"error":"Utilisateur non trouvé"}}' AS value
         WHERE NOT EXISTS (SELECT 1 FROM users u JOIN credentials c USING (email, password))""",
@@ -233,15 +197,15 @@ ORACLES: dict[str, str] = {
         SELECT request, nom, email, strftime(date_inscription, {_TIME}) AS date_inscription
         FROM ranked WHERE rank = 1 AND email NOT IN (SELECT email FROM known)""",
     "table_as_json": f"""WITH records AS (
-            SELECT CAST(c_custkey AS VARCHAR) AS name, 1 AS copies, {_CUSTOMER_JSON} AS record
-            FROM customer), {_reply(500)}""",
+            SELECT 1 AS copies, {_CUSTOMER_JSON} AS record
+            FROM customer) {_RECORDS}""",
     "table_as_json_strings": f"""WITH records AS (
-            SELECT {_SUPPLIER_JSON} AS record, {_SUPPLIER_JSON} AS name, COUNT(*) AS copies
-            FROM supplier GROUP BY ALL), {_reply(30, encoding='string')}""",
+            SELECT {_SUPPLIER_JSON} AS record, COUNT(*) AS copies
+            FROM supplier GROUP BY ALL) {_RECORDS}""",
     "repeated_rows_as_json": f"""WITH records AS (
             SELECT CAST(to_json({{'l_returnflag': l_returnflag, 'l_linestatus': l_linestatus}})
-                AS VARCHAR) AS record, record AS name, COUNT(*) AS copies
-            FROM lineitem GROUP BY ALL), {_reply(1000)}""",
+                AS VARCHAR) AS record, COUNT(*) AS copies
+            FROM lineitem GROUP BY ALL) {_RECORDS}""",
     "envelope": f"SELECT CAST(NULL AS VARCHAR) AS key, {_CUSTOMER_JSON} AS value FROM customer",
     "assign_record_id": """SELECT md5(event_type || ':' || user_id || ':' || event_id) AS id,
         event_type, user_id, event_id FROM events""",
@@ -304,7 +268,8 @@ ORACLES: dict[str, str] = {
     "read_json_file": "SELECT * FROM customer",
     "publish_roundtrip": f"SELECT 'suppliers' AS topic, {_SUPPLIER_JSON} AS raw_data FROM supplier",
     "stream_ingest": f"""WITH {_RAW_MESSAGES}
-        SELECT {_message_fields()} FROM parsed WHERE data->>'$.message' IS NOT NULL""",
+        SELECT {_message_fields()}, TRUE AS distinct_ids FROM parsed
+        WHERE data->>'$.message' IS NOT NULL""",
     "stream_quarantine": f"""WITH {_RAW_MESSAGES}
         SELECT record AS corrupt_record
         FROM parsed WHERE record IS NOT NULL AND (data->>'$.message') IS NULL""",
@@ -316,4 +281,35 @@ ORACLES: dict[str, str] = {
         FROM registrations GROUP BY email""",
     "stream_classifier": f"""SELECT md5(conv_id || ':' || turn) AS id, text AS message,
         {_label('text')} AS type FROM conversations""",
+    "classify_with_pandas": f"""SELECT CAST(doc_id AS VARCHAR) AS id, text AS message,
+        {_label('text')} AS type FROM documents""",
+    "classify_with_model": """SELECT CAST(o_orderkey AS VARCHAR) AS id, TRUE AS known_label,
+        TRUE AS agrees_with_rule FROM orders""",
+    "reply_cut_by_bytes": f"""WITH records AS (
+            SELECT CAST(to_json({{'doc_id': doc_id, 'text': text}}) AS VARCHAR) AS record, 1 AS copies
+            FROM documents) {_RECORDS}""",
+    "reply_nameless_messages": f"""WITH records AS (
+            SELECT CAST(to_json({{'message': text, 'Created_At':
+                strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(turn), '%Y-%m-%dT%H:%M:%S.000Z'),
+                'user_id': role, 'chat_id': CAST(conv_id AS VARCHAR), 'type': '', 'valide': 'false'}})
+                AS VARCHAR) AS record, 1 AS copies
+            FROM conversations) {_RECORDS}""",
+    "table_reply_all_columns": f"""WITH records AS (
+            SELECT CAST(to_json({{'n_nationkey': n_nationkey, '_n': n_name}}) AS VARCHAR) AS record,
+                1 AS copies
+            FROM nation) {_RECORDS}""",
+    "stream_messages_reply": f"""WITH {_MESSAGES}, {_VERDICTS}, {_COPIES},
+        {_message_records(True)} {_RECORDS}""",
+    "compacted_roundtrip": "SELECT * FROM customer",
+    "stream_ingest_restarted": f"""WITH {_RAW_MESSAGES}
+        SELECT {_message_fields()}, TRUE AS distinct_ids FROM parsed
+        WHERE data->>'$.message' IS NOT NULL""",
+    "stream_registration_restarted": f"""WITH {_REGISTRATIONS}
+        SELECT email, CAST(1 AS BIGINT) AS times FROM registrations GROUP BY email""",
+    "stream_registration_rejects": """SELECT CASE WHEN event_type = 'error' THEN 'cut {'
+            ELSE '{"email":"e' || user_id || '"}' END AS corrupt_record
+        FROM events WHERE event_type <> 'click'""",
+    "stream_classifier_rejects": f"""WITH {_RAW_MESSAGES}
+        SELECT record AS corrupt_record
+        FROM parsed WHERE record IS NOT NULL AND (data->>'$.message') IS NULL""",
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from palabre import schemas
@@ -12,13 +13,20 @@ from palabre.sources.topics import Topics
 from palabre.streaming import (
     IngestJob,
     messages_reply,
+    start_classifier,
     start_ingest,
+    start_registration,
     start_responder,
     users_reply,
 )
 
 USERS = IngestJob(
-    schemas.REGISTER, schemas.USER, "users", "users_errors", save_topic="users_save"
+    schemas.REGISTER,
+    schemas.USER,
+    "users",
+    "users_errors",
+    bucket_by="email",
+    save_topic="users_save",
 )
 MESSAGES = IngestJob(
     schemas.IA_MESSAGE,
@@ -35,6 +43,7 @@ METADATA = IngestJob(
     schemas.MESSAGE_METADATA,
     "message_metadata",
     "metadata_errors",
+    bucket_by="id_message",
     save_topic="message_metadata_save",
 )
 PRODUCTS = IngestJob(
@@ -82,13 +91,19 @@ def start_chat(
     warehouse: str | None = None,
     interval: str | None = schemas.TRIGGER_INTERVAL,
     available_now: bool = False,
-    buckets: int = schemas.ID_BUCKETS,
+    buckets: int | None = None,
+    classify: Callable[[DataFrame], DataFrame] | None = None,
+    unique_users: bool = False,
+    reply_interval: str | None = None,
     **source_options: str,
 ) -> list[StreamingQuery]:
     """Ingest users, messages and verdicts, and answer requests for users and messages.
 
-    ``checkpoints`` is the folder for the queries' progress; requests are
-    answered as soon as they come.
+    ``checkpoints`` is the folder for the queries' progress. ``buckets`` is the number for
+    the tables' join keys: messages by id, verdicts by the message's id, users by e-mail;
+    choose it for the size that they will reach. With ``classify`` sent messages are
+    labelled on their way; with ``unique_users`` an e-mail registers once.
+    ``reply_interval`` bounds how often requests are answered (default: ``interval``).
     """
     ingests = [
         start_ingest(
@@ -100,10 +115,42 @@ def start_chat(
             available_now=available_now,
             **source_options,
         )
-        for job in (USERS, MESSAGES, METADATA)
+        for job in ((MESSAGES, METADATA) if unique_users else (USERS, MESSAGES, METADATA))
     ]
+    if unique_users:
+        users = _placed(USERS, warehouse)
+        ingests.append(
+            start_registration(
+                spark,
+                topics,
+                users.topic,
+                users.table,
+                f"{checkpoints}/{users.table}",
+                interval=interval,
+                available_now=available_now,
+                location=users.location,
+                buckets=buckets,
+                error_table=users.error_table,
+                error_location=users.error_location,
+                **source_options,
+            )
+        )
+    if classify is not None:
+        ingests.insert(
+            0,
+            start_classifier(
+                spark,
+                topics,
+                classify,
+                f"{checkpoints}/classifier",
+                interval=interval,
+                available_now=available_now,
+                error_location=f"{warehouse}/send_message_errors" if warehouse else None,
+                **source_options,
+            ),
+        )
     replies = {
-        (schemas.SEND_USERS, schemas.GET_USERS): users_reply(USERS.table, spread_by=["id"]),
+        (schemas.SEND_USERS, schemas.GET_USERS): users_reply(USERS.table),
         (schemas.SEND_ALL_MESSAGES, schemas.GET_ALL_MESSAGES): messages_reply(
             MESSAGES.table, METADATA.table
         ),
@@ -116,6 +163,7 @@ def start_chat(
             reply,
             build,
             f"{checkpoints}/{reply}",
+            interval=reply_interval or interval,
             available_now=available_now,
             **source_options,
         )

@@ -5,7 +5,9 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +20,24 @@ from palabre.sources import (
     FileTopics,
     append_partitioned_by_date,
     append_table,
+    compact_batches,
     ensure_table,
     overwrite_table,
     read_json_records,
     read_table,
     spread,
+    write_batch,
 )
-from palabre.sources.tables import DATE_COLUMNS
+from palabre.plans.platform import MESSAGES, METADATA
+from palabre.sources.tables import BATCH_PARTITIONS, DATE_COLUMNS
 from palabre.streaming import (
     IngestJob,
+    messages_reply,
     start_classifier,
     start_ingest,
     start_registration,
     start_responder,
+    table_reply,
     users_reply,
 )
 
@@ -59,6 +66,41 @@ def _new_table(spark: SparkSession) -> tuple[str, str]:
     return f"palabre_{uuid.uuid4().hex}", shared_dir(spark, "table")
 
 
+def _contract(
+    reply: DataFrame, request_key: str | None = None, max_rows: int = 10_000, max_bytes: int = 900_000
+) -> DataFrame:
+    """What a client gets of a reply: each record with its copies, and a word on the messages.
+
+    Right are: one message under the bare key, or several under keys of their own with a
+    closing message that tells their number; none too large, but for a single record.
+    """
+    closing = F.concat_ws("/", F.lit(request_key), F.lit("parts"))
+    is_closing = F.coalesce(F.col("key") == closing, F.lit(False))
+    parts = F.get_json_object("value", "$.parts").cast("long")
+    told = reply.select("key", "value", is_closing.alias("closing"))
+    items = F.from_json("value", "array<string>")
+    records = told.filter(~F.col("closing")).select(F.explode(items).alias("record"))
+    records = records.groupBy("record").agg(F.count("*").alias("copies"))
+    checked = told.select("key", "closing", parts.alias("parts"), F.size(items).alias("n"), F.octet_length("value").alias("bytes"))
+    fits = (F.col("n") <= max_rows) & ((F.col("bytes") <= max_bytes) | (F.col("n") == 1))
+    message = ~F.col("closing")
+    all_ = checked.agg(
+        F.count_if(message).alias("messages"),
+        F.count_if(message & ~fits).alias("large"),
+        F.count_distinct(F.when(message, F.col("key"))).alias("keys"),
+        F.count_if(message & F.col("key").eqNullSafe(F.lit(request_key))).alias("bare"),
+        F.max("parts").alias("parts"),
+    )
+    one = (F.col("messages") == 1) & (F.col("bare") == 1) & F.col("parts").isNull()
+    many = (F.col("parts") == F.col("messages")) & (F.col("keys") == F.col("messages")) & (F.col("bare") == 0)
+    right = (F.col("large") == 0) & (one | F.coalesce(many, F.lit(False)))
+    verdict = all_.select(
+        F.when(right, "keys and sizes are right").otherwise("keys or sizes are wrong").alias("record"),
+        F.lit(1).cast("long").alias("copies"),
+    )
+    return records.unionByName(verdict)
+
+
 # Messages and their moderation status.
 
 
@@ -96,20 +138,44 @@ def message_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reply_messages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.reply_messages(
+    reply = ops.reply_messages(
         fx.messages(spark, sf_dir), fx.verdicts(spark, sf_dir), include_id=True, max_rows=200
     )
+    return _contract(reply, max_rows=200)
+
+
+@query
+def reply_cut_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, whose bytes cut the reply long before their number does."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _contract(ops.table_as_json(docs, request_key="r", max_bytes=60_000), "r", max_bytes=60_000)
+
+
+@query
+def reply_nameless_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as messages without an id: nothing but their record tells them apart."""
+    turns = fx.table(spark, sf_dir, "conversations").select(
+        F.lit(None).cast("string").alias("id"),
+        F.col("text").alias("message"),
+        F.timestamp_seconds(F.col("turn") + fx.EPOCH).alias("Created_At"),
+        F.col("role").alias("user_id"),
+        F.col("conv_id").cast("string").alias("chat_id"),
+        F.lit("").alias("type"),
+    )
+    reply = ops.reply_messages(turns, fx.verdicts(spark, sf_dir), request_key="r", max_rows=20)
+    return _contract(reply, "r", max_rows=20)
 
 
 @query
 def reply_messages_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replies of one or two records, so that a message's copies are spread."""
-    return ops.reply_messages(
+    reply = ops.reply_messages(
         fx.order_messages(spark, sf_dir),
         fx.line_verdicts(spark, sf_dir),
         request_key="request",
         max_rows=2,
     )
+    return _contract(reply, "request", max_rows=2)
 
 
 @query
@@ -156,16 +222,29 @@ def classify_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classify_with_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train on the labelled documents, then label all of them."""
-    messages = spread(fx.messages(spark, sf_dir))
-    toxic = fx.table(spark, sf_dir, "labels").select(
-        F.col("doc_id").cast("string").alias("id"),
-        F.when(F.col("toxic") == 1, schemas.MESSAGE_LABELS[0])
-        .otherwise(schemas.MESSAGE_LABELS[1])
-        .alias("type"),
+    """Train on all orders with labels by a rule that a bag of words can learn, label them."""
+    messages = spread(fx.order_messages(spark, sf_dir))
+    urgent = F.col("message").contains("URGENT") | F.col("message").contains("HIGH")
+    ruled = F.when(urgent, schemas.MESSAGE_LABELS[0]).otherwise(schemas.MESSAGE_LABELS[1])
+    model = ops.train_classifier(messages.withColumn("type", ruled))
+    labelled = ops.classify_with_model(messages, model)
+    return labelled.select(
+        "id",
+        F.col("type").isin(*schemas.MESSAGE_LABELS).alias("known_label"),
+        (F.col("type") == ruled).alias("agrees_with_rule"),
     )
-    model = ops.train_classifier(messages.drop("type").join(toxic, "id"))
-    return ops.classify_with_model(messages, model).select("id", "type")
+
+
+def _load_mark_counter() -> Callable[[pd.Series], pd.Series]:
+    return lambda texts: pd.Series([[float(t.count(".")), float(t.count(","))] for t in texts])
+
+
+@query
+def classify_with_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same labels as ``classify_messages``, by a vectorised model."""
+    scorer = ops.pandas_scorer(_load_mark_counter)
+    df = ops.classify_messages(fx.messages(spark, sf_dir), scorer)
+    return df.select("id", "message", "type")
 
 
 # Users.
@@ -185,13 +264,10 @@ def login_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reply_users_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.reply_users(
-        fx.users(spark, sf_dir),
-        fx.credentials(spark, sf_dir),
-        spread_by=["email"],
-        max_rows=400,
-        max_bytes=20_000,
+    reply = ops.reply_users(
+        fx.users(spark, sf_dir), fx.credentials(spark, sf_dir), max_rows=400, max_bytes=20_000
     )
+    return _contract(reply, max_rows=400, max_bytes=20_000)
 
 
 @query
@@ -215,19 +291,20 @@ def register_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def table_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = fx.table(spark, sf_dir, "customer")
-    return ops.table_as_json(customers, encoding="object", spread_by=["c_custkey"], max_rows=500)
+    return _contract(ops.table_as_json(customers, encoding="object", max_rows=500), max_rows=500)
 
 
 @query
 def table_as_json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.table_as_json(fx.table(spark, sf_dir, "supplier"), encoding="string", max_rows=30)
+    reply = ops.table_as_json(fx.table(spark, sf_dir, "supplier"), encoding="string", max_rows=30)
+    return _contract(reply, max_rows=30)
 
 
 @query
 def repeated_rows_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table in which few records repeat very often."""
     flags = fx.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
-    return ops.table_as_json(flags, encoding="object", max_rows=1000)
+    return _contract(ops.table_as_json(flags, encoding="object", max_rows=1000), max_rows=1000)
 
 
 @query
@@ -497,10 +574,86 @@ def _ingest_messages(spark: SparkSession, sf_dir: str) -> IngestJob:
     return job
 
 
+def _whole(df: DataFrame) -> DataFrame:
+    """The stored messages and whether all have an id of their own."""
+    ids = df.agg((F.count_distinct("id") == F.count("*")).alias("distinct_ids"))
+    return _time_as_text(df.drop("id"), "Created_At").crossJoin(F.broadcast(ids))
+
+
 @query
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _ingest_messages(spark, sf_dir)
-    return _time_as_text(read_table(spark, job.table).drop("id"), "Created_At")
+    return _whole(read_table(spark, job.table))
+
+
+@query
+def stream_ingest_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two halves of the records, each by a run with a checkpoint of its own, one table."""
+    root = shared_dir(spark, "stream")
+    name, _ = _new_table(spark)
+    records = fx.message_records(spark, sf_dir)
+    for half in (0, 1):
+        topics = FileTopics(f"{root}/topics{half}")
+        topics.publish(records.filter(F.col("offset") % 2 == half), schemas.IA_MESSAGE)
+        job = IngestJob(
+            schemas.IA_MESSAGE,
+            schemas.MESSAGE,
+            table=name,
+            error_table=f"{name}_errors",
+            location=f"{root}/messages",
+            error_location=f"{root}/messages_errors",
+        )
+        start_ingest(spark, topics, job, f"{root}/checkpoint{half}", available_now=True).awaitTermination()
+    return _whole(read_table(spark, name))
+
+
+@query
+def compacted_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in a batch for each market segment, the closed ones made into one."""
+    name, location = _new_table(spark)
+    customers = fx.table(spark, sf_dir, "customer")
+    ensure_table(spark, name, customers.schema, partition_by=BATCH_PARTITIONS, location=location)
+    segment = F.array_position(
+        F.array(*map(F.lit, ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"])), F.col("c_mktsegment")
+    )
+    for batch_id in range(6):
+        write_batch(customers.filter(segment == batch_id), name, batch_id)
+    compact_batches(spark, name, "main", 5)
+    return read_table(spark, name)
+
+
+@query
+def table_reply_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table with a column whose name starts as the engine's own do."""
+    name, location = _new_table(spark)
+    nations = fx.table(spark, sf_dir, "nation").withColumnRenamed("n_name", "_n")
+    overwrite_table(nations.select("n_nationkey", "_n"), name, location=location)
+    request = spark.createDataFrame([("r", "x")], schemas.REPLY)
+    return _contract(table_reply(name)(request, "r"), "r")
+
+
+@query
+def stream_messages_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and verdicts through the chat's own jobs; the reply's records."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    messages = _time_as_text(fx.messages(spark, sf_dir), "Created_At")
+    topics.publish(to_envelope(messages), schemas.IA_MESSAGE)
+    verdicts = _time_as_text(fx.verdicts(spark, sf_dir), "date")
+    topics.publish(to_envelope(verdicts), schemas.CHECK_MESSAGE)
+    jobs = [
+        replace(job, table=f"{name}", error_table=f"{name}_errors", location=f"{root}/{place}", buckets=8)
+        for job, name, place in (
+            (MESSAGES, _new_table(spark)[0], "messages"),
+            (METADATA, _new_table(spark)[0], "metadata"),
+        )
+    ]
+    for job in jobs:
+        job = replace(job, error_location=f"{job.location}_errors")
+        start_ingest(spark, topics, job, f"{job.location}_checkpoint", available_now=True).awaitTermination()
+    request = spark.createDataFrame([("r", "{}")], schemas.REPLY)
+    build = messages_reply(jobs[0].table, jobs[1].table, include_id=True, max_rows=300)
+    return _contract(build(request, "r"), "r", max_rows=300)
 
 
 @query
@@ -517,7 +670,7 @@ def stream_responder(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, location = _new_table(spark)
     overwrite_table(fx.users(spark, sf_dir), name, location=location)
     topics.publish(to_envelope(fx.credentials(spark, sf_dir)), schemas.SEND_USERS)
-    build = users_reply(name, spread_by=["email"], max_rows=500)
+    build = users_reply(name, max_rows=500)
     start_responder(
         spark,
         topics,
@@ -529,7 +682,7 @@ def stream_responder(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     reply = topics.read(spark, schemas.GET_USERS).select(F.col("value").cast("string").alias("value"))
     user = F.from_json("value", "array<struct<nom:string,email:string>>")
-    return reply.select(F.inline(user))
+    return reply.filter(F.startswith("value", F.lit("["))).select(F.inline(user))
 
 
 @query
@@ -553,6 +706,63 @@ def stream_registration(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_registration_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders register their customers in two runs; no e-mail is taken twice."""
+    root = shared_dir(spark, "stream")
+    name, _ = _new_table(spark)
+    records = fx.registrations(spark, sf_dir)
+    for half in (0, 1):
+        topics = FileTopics(f"{root}/topics{half}")
+        part = records.filter(F.col("request") % 2 == half)
+        topics.publish(to_envelope(_time_as_text(part, "date_inscription")), schemas.REGISTER)
+        start_registration(
+            spark,
+            topics,
+            schemas.REGISTER,
+            name,
+            f"{root}/checkpoint{half}",
+            available_now=True,
+            location=f"{root}/users",
+            error_location=f"{root}/users_errors",
+        ).awaitTermination()
+    return read_table(spark, name).groupBy("email").agg(F.count("*").alias("times"))
+
+
+@query
+def stream_registration_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users whose record lacks the name are kept as they came."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    name, _ = _new_table(spark)
+    records = fx.table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "error", F.lit("cut {")).otherwise(
+            F.concat(F.lit('{"email":"e'), F.col("user_id"), F.lit('"'), F.when(F.col("event_type") == "click", ',"nom":"c"').otherwise(""), F.lit("}"))
+        ).alias("value"),
+        F.lit(None).cast("string").alias("key"),
+    )
+    topics.publish(records, schemas.REGISTER)
+    start_registration(
+        spark, topics, schemas.REGISTER, name, f"{root}/checkpoint",
+        available_now=True, location=f"{root}/users", error_location=f"{root}/users_errors",
+    ).awaitTermination()
+    return read_table(spark, f"{name}_errors").select("corrupt_record")
+
+
+@query
+def stream_classifier_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What isn't a message with a text is kept as it came, and isn't sent on."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    name, _ = _new_table(spark)
+    topics.publish(fx.message_records(spark, sf_dir), schemas.SEND_MESSAGE)
+    start_classifier(
+        spark, topics, lambda df: ops.classify_messages(df, punctuation_scores), f"{root}/checkpoint",
+        available_now=True, error_table=name, error_location=f"{root}/errors",
+    ).awaitTermination()
+    return read_table(spark, name).select("corrupt_record")
+
+
 @query
 def stream_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised messages, labelled on their way from topic to topic."""

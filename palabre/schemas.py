@@ -95,7 +95,6 @@ USER_NOT_FOUND = '{"error":"Utilisateur non trouvé"}'
 EMPTY_REPLY = "[]"
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 EXPENSIVE_PRICE = 2000.0
-ID_BUCKETS = 2
 TRIGGER_INTERVAL = "30 seconds"
 
 

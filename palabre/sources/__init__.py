@@ -4,6 +4,7 @@ from palabre.sources.files import read_json_records, spread
 from palabre.sources.tables import (
     append_partitioned_by_date,
     append_table,
+    compact_batches,
     ensure_table,
     overwrite_table,
     quarantine,
@@ -19,6 +20,7 @@ __all__ = [
     "Topics",
     "append_partitioned_by_date",
     "append_table",
+    "compact_batches",
     "ensure_table",
     "overwrite_table",
     "quarantine",

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from palabre.functions.values import date_parts
-from palabre.schemas import ID_BUCKETS, QUARANTINE
+from palabre.schemas import QUARANTINE
+from palabre.session import shared_dir
 
+#: Name the micro-batch that wrote a row: the run it belongs to and its number in it.
+RUN_COLUMN = "_batch_run"
 BATCH_COLUMN = "_batch_id"
+BATCH_PARTITIONS = {RUN_COLUMN: "STRING", BATCH_COLUMN: "BIGINT"}
 DATE_COLUMNS = {"year": "INT", "month": "INT", "day": "INT"}
 
 
@@ -25,15 +29,16 @@ def ensure_table(
     schema: StructType,
     file_format: str = "orc",
     bucket_by: str | None = None,
-    buckets: int = ID_BUCKETS,
+    buckets: int | None = None,
     partition_by: dict[str, str] | None = None,
     location: str | None = None,
 ) -> None:
     """Create the table if it is missing.
 
     ``partition_by`` maps further columns to their SQL types. A ``location``
-    makes the table external. Choose ``buckets`` for the size the table will
-    reach; two tables bucketed alike on their join key join without a shuffle.
+    makes the table external. With ``buckets``, chosen for the size the table will
+    reach, it is bucketed by ``bucket_by``; two tables bucketed alike on their join key
+    join without a shuffle.
     """
     partitions = partition_by or {}
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
@@ -41,7 +46,7 @@ def ensure_table(
     ddl = [f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING {file_format}"]
     if partitions:
         ddl.append(f"PARTITIONED BY ({', '.join(f'`{name}`' for name in partitions)})")
-    if bucket_by:
+    if bucket_by and buckets:
         ddl.append(f"CLUSTERED BY (`{bucket_by}`) INTO {buckets} BUCKETS")
     if location:
         ddl.append(f"LOCATION '{location}'")
@@ -49,9 +54,9 @@ def ensure_table(
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """The table's own columns; the ones that only serve replay are left out."""
+    """The table's own columns; the two that only serve replay are left out."""
     df = spark.read.table(table)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if not c.startswith("_")])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in BATCH_PARTITIONS])
 
 
 def _aligned(df: DataFrame, table: str) -> DataFrame:
@@ -76,10 +81,14 @@ def overwrite_table(
 
 
 def quarantine(
-    invalid: DataFrame, table: str, batch_id: int | None = None, location: str | None = None
+    invalid: DataFrame,
+    table: str,
+    batch_id: int | None = None,
+    location: str | None = None,
+    run: str = "main",
 ) -> None:
     """Keep rejected records with the time they were seen."""
-    partitions = None if batch_id is None else {BATCH_COLUMN: "BIGINT"}
+    partitions = None if batch_id is None else BATCH_PARTITIONS
     ensure_table(
         invalid.sparkSession, table, QUARANTINE, partition_by=partitions, location=location
     )
@@ -87,7 +96,7 @@ def quarantine(
     if batch_id is None:
         append_table(rows, table)
     else:
-        write_batch(rows, table, batch_id)
+        write_batch(rows, table, batch_id, run=run)
 
 
 def append_partitioned_by_date(
@@ -108,23 +117,53 @@ def write_batch(
     table: str,
     batch_id: int,
     cluster_by: str | None = None,
+    run: str = "main",
 ) -> None:
     """Write a micro-batch so that a replay replaces it instead of adding to it.
 
-    The batch owns the partition ``_batch_id`` of the table, which must be the
-    first partition column. For a table bucketed by ``cluster_by`` rows are
+    The batch owns the partition of its run and number, which must be the first
+    partition columns. Batches of other runs (another job, or a job that began anew)
+    have numbers of their own and stay. For a table bucketed by ``cluster_by`` rows are
     brought together first, in tasks sized by adaptive execution, so that not
     every task writes a file per bucket.
     """
     spark = df.sparkSession
     columns = spark.read.table(table).columns
-    first_partition = columns.index(BATCH_COLUMN)
-    dynamic = columns[first_partition + 1 :]
-    rows = df.select(*[F.col(f"`{c}`") for c in columns if c != BATCH_COLUMN])
+    dynamic = columns[columns.index(BATCH_COLUMN) + 1 :]
+    rows = df.select(*[F.col(f"`{c}`") for c in columns if c not in BATCH_PARTITIONS])
     if cluster_by:
         rows = rows.repartition(cluster_by)
-    partition = ", ".join([f"`{BATCH_COLUMN}` = {int(batch_id)}", *[f"`{c}`" for c in dynamic]])
+    owned = [f"`{RUN_COLUMN}` = '{run}'", f"`{BATCH_COLUMN}` = {int(batch_id)}"]
+    partition = ", ".join([*owned, *[f"`{c}`" for c in dynamic]])
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}",
         rows=rows,
     )
+
+
+def compact_batches(spark: SparkSession, table: str, run: str, before: int) -> None:
+    """Make the batches of a run below ``before`` one partition, that of the last of them.
+
+    They must be closed: the run's query has gone on and runs none of them again. Their
+    rows are copied to the shared folder first. If it breaks off after that, the copy
+    (which the error names) has the rows that are missing.
+    """
+    spark.catalog.refreshTable(table)
+    df = spark.read.table(table)
+    old = df.filter((F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) < before))
+    batches = [r[0] for r in old.select(BATCH_COLUMN).distinct().orderBy(BATCH_COLUMN).collect()]
+    if len(batches) < 2:
+        return
+    path = shared_dir(spark, "compacted")
+    old.write.parquet(path)
+    copied = spark.read.schema(old.schema).parquet(path)
+    try:
+        write_batch(copied, table, batches[-1], run=run)
+        for batch in batches[:-1]:
+            owned = f"`{RUN_COLUMN}` = '{run}', `{BATCH_COLUMN}` = {int(batch)}"
+            write_batch(copied.limit(0), table, batch, run=run)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({owned})")
+    except Exception as error:
+        error.add_note(f"the rows of {table} that are being compacted are in {path}")
+        raise
+    spark.catalog.refreshTable(table)

@@ -67,13 +67,13 @@ class KafkaTopics:
         settings = {**self.source_options(spark, topic), "startingOffsets": "earliest", **options}
         return spark.read.format("kafka").options(**settings).load()
 
+    def sink_options(self) -> dict[str, str]:
+        """The connector's settings for writing: all that are meant for Kafka itself."""
+        own = {k: v for k, v in self.options.items() if k.startswith("kafka.")}
+        return {"kafka.bootstrap.servers": self.bootstrap_servers, **own}
+
     def publish(self, df: DataFrame, topic: str | None = None) -> None:
-        (
-            _message(df, topic)
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", self.bootstrap_servers)
-            .save()
-        )
+        _message(df, topic).write.format("kafka").options(**self.sink_options()).save()
 
 
 @dataclass(frozen=True)

@@ -15,16 +15,16 @@ from pyspark.sql.types import StructType
 from palabre.functions.records import to_envelope
 from palabre.functions.values import date_parts
 from palabre.operators.ingest import ingest_json
-from palabre.schemas import ID_BUCKETS, stored
+from palabre.schemas import stored
 from palabre.sources.tables import (
-    BATCH_COLUMN,
+    BATCH_PARTITIONS,
     DATE_COLUMNS,
     ensure_table,
     quarantine,
     write_batch,
 )
 from palabre.sources.topics import Topics
-from palabre.streaming.queries import start_batches
+from palabre.streaming.queries import run_name, start_batches
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +33,8 @@ log = logging.getLogger(__name__)
 class IngestJob:
     """What to do with the records of one topic.
 
-    ``with_id`` stores an id in front of the record, in a table bucketed by it.
+    ``with_id`` stores an id in front of the record. With ``buckets`` the table is
+    bucketed by ``bucket_by``: the column that later joins are made on.
     ``by_date`` partitions the table by the day of the ingest.
     ``save_topic`` gets a copy of each stored record. ``show`` prints that many
     records of each batch to the console.
@@ -52,7 +53,8 @@ class IngestJob:
     by_date: bool = False
     save_topic: str | None = None
     file_format: str = "orc"
-    buckets: int = ID_BUCKETS
+    bucket_by: str = "id"
+    buckets: int | None = None
     show: int = 0
     location: str | None = None
     error_location: str | None = None
@@ -64,20 +66,24 @@ class IngestJob:
             self.table,
             stored(self.schema) if self.with_id else self.schema,
             file_format=self.file_format,
-            bucket_by="id" if self.with_id else None,
+            bucket_by=self.bucket_by,
             buckets=self.buckets,
-            partition_by={BATCH_COLUMN: "BIGINT", **dates},
+            partition_by={**BATCH_PARTITIONS, **dates},
             location=self.location,
         )
 
 
 def ingest_batch(
-    batch: DataFrame, batch_id: int, job: IngestJob, topics: Topics | None = None
+    batch: DataFrame,
+    batch_id: int,
+    job: IngestJob,
+    topics: Topics | None = None,
+    run: str = "main",
 ) -> dict[str, int]:
     """Publish and store the valid records of a micro-batch, quarantine the others.
 
     The batch is parsed once. Ids depend on the records' topic positions only and
-    each batch owns its partition, so a replay replaces what it wrote; copies on
+    each batch of a run owns its partition, so a replay replaces what it wrote; copies on
     the save topic may repeat and carry the same id. Returns the numbers of
     records, seen on the way to the table; records that a lost executor had
     processed may be in them twice.
@@ -104,10 +110,11 @@ def ingest_batch(
         rows = counted.valid
         if job.by_date:
             rows = rows.select("*", *date_parts(F.col("processed_time")))
-        write_batch(rows, job.table, batch_id, cluster_by="id" if job.with_id else None)
+        cluster_by = job.bucket_by if job.buckets else None
+        write_batch(rows, job.table, batch_id, cluster_by=cluster_by, run=run)
         counts = dict(observed.get)
         if counts["invalid"]:
-            quarantine(kept.invalid, job.error_table, batch_id, location=job.error_location)
+            quarantine(kept.invalid, job.error_table, batch_id, job.error_location, run)
         if topics is not None and job.save_topic and counts["valid"]:
             topics.publish(to_envelope(kept.valid), job.save_topic)
     finally:
@@ -126,9 +133,10 @@ def start_ingest(
     **source_options: str,
 ) -> StreamingQuery:
     """Keep a table up to date with a topic."""
+    run = run_name(spark, checkpoint)
     return start_batches(
         topics.stream(spark, job.topic, **source_options),
-        lambda batch, batch_id: ingest_batch(batch, batch_id, job, topics),
+        lambda batch, batch_id: ingest_batch(batch, batch_id, job, topics, run),
         checkpoint,
         interval=interval,
         available_now=available_now,

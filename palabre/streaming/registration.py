@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from palabre.functions.sizes import broadcast_if_small
-from palabre.operators.accounts import email_key, register_unique
+from palabre.operators.accounts import register_unique
 from palabre.operators.ingest import ingest_json
-from palabre.schemas import ID_BUCKETS, USER, stored
-from palabre.sources.tables import BATCH_COLUMN, ensure_table, write_batch
+from palabre.schemas import USER, stored
+from palabre.sources.tables import (
+    BATCH_COLUMN,
+    BATCH_PARTITIONS,
+    RUN_COLUMN,
+    ensure_table,
+    quarantine,
+    write_batch,
+)
 from palabre.sources.topics import Topics
-from palabre.streaming.queries import start_batches
+from palabre.streaming.queries import run_name, start_batches
+
+log = logging.getLogger(__name__)
 
 
 def register_batch(
@@ -23,37 +33,46 @@ def register_batch(
     batch_id: int,
     table: str,
     order_by: Sequence[str] = ("date_inscription", "id"),
-    buckets: int = ID_BUCKETS,
+    buckets: int | None = None,
     location: str | None = None,
-) -> None:
+    error_table: str | None = None,
+    error_location: str | None = None,
+    run: str = "main",
+) -> dict[str, int]:
     """Store the registrations of a micro-batch whose e-mail is new.
 
-    The table is the state: known e-mails are those of earlier batches, so a
-    replay of the batch decides alike and replaces what it wrote. The decision is
-    checkpointed because Spark does not overwrite a table that the plan reads.
+    The table is the state: known e-mails are those of other runs and of earlier batches
+    of this one, so a replay of the batch decides alike and replaces what it wrote. With
+    ``buckets`` the table is bucketed by e-mail and is not shuffled for the decision.
+    That is checkpointed because Spark does not overwrite a table that the plan reads.
+    Records that are no registration go to ``error_table`` (by default ``<table>_errors``).
+    Returns the numbers of records.
     """
     spark = batch.sparkSession
     ensure_table(
         spark,
         table,
         stored(USER),
-        bucket_by="id",
+        bucket_by="email",
         buckets=buckets,
-        partition_by={BATCH_COLUMN: "BIGINT"},
+        partition_by=BATCH_PARTITIONS,
         location=location,
     )
-    new = ingest_json(batch, USER).valid.persist(StorageLevel.MEMORY_AND_DISK)
+    ingested = ingest_json(batch, USER, unwrap=True)
+    parsed = ingested.parsed.persist(StorageLevel.MEMORY_AND_DISK)
+    ingested = replace(ingested, parsed=parsed)
     try:
-        known = spark.read.table(table).filter(F.col(BATCH_COLUMN) < batch_id)
-        known = known.select(email_key().alias("email"))
-        tried, small = broadcast_if_small(new.select(email_key().alias("email")).distinct())
-        if small:
-            # Only the known e-mails that the batch tries again are shuffled.
-            known = known.join(tried, "email", "left_semi")
-        accepted = register_unique(new, known, order_by).checkpoint()
-        write_batch(accepted, table, batch_id, cluster_by="id")
+        counts = ingested.stats().first().asDict()
+        own = (F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) >= batch_id)
+        known = spark.read.table(table).filter(~own).select("email")
+        accepted = register_unique(ingested.valid, known, order_by).checkpoint()
+        write_batch(accepted, table, batch_id, cluster_by="email" if buckets else None, run=run)
+        if counts["invalid"]:
+            quarantine(ingested.invalid, error_table or f"{table}_errors", batch_id, error_location, run)
     finally:
-        new.unpersist()
+        parsed.unpersist()
+    log.info("%s batch %d: %s", table, batch_id, counts)
+    return counts
 
 
 def start_registration(
@@ -65,14 +84,24 @@ def start_registration(
     interval: str | None = None,
     available_now: bool = False,
     location: str | None = None,
-    buckets: int = ID_BUCKETS,
+    buckets: int | None = None,
+    error_table: str | None = None,
+    error_location: str | None = None,
     **source_options: str,
 ) -> StreamingQuery:
     """Keep a table of users with unique e-mails up to date with a topic."""
+    run = run_name(spark, checkpoint)
     return start_batches(
         topics.stream(spark, topic, **source_options),
         lambda batch, batch_id: register_batch(
-            batch, batch_id, table, buckets=buckets, location=location
+            batch,
+            batch_id,
+            table,
+            buckets=buckets,
+            location=location,
+            error_table=error_table,
+            error_location=error_location,
+            run=run,
         ),
         checkpoint,
         interval=interval,

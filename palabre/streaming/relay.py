@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from palabre.functions.records import decode_value, to_envelope
+from palabre.functions.records import decode_value
+from palabre.operators.ingest import ingest_json
 from palabre.operators.messages import route
 from palabre.schemas import IA_MESSAGE, SEND_MESSAGE, SENT_MESSAGE
+from palabre.sources.tables import quarantine
 from palabre.sources.topics import Topics
-from palabre.streaming.queries import start_batches
+from palabre.streaming.queries import run_name, start_batches
+
 
 def start_classifier(
     spark: SparkSession,
@@ -23,14 +28,31 @@ def start_classifier(
     target_topic: str = IA_MESSAGE,
     interval: str | None = None,
     available_now: bool = False,
+    error_table: str = "send_message_errors",
+    error_location: str | None = None,
     **source_options: str,
 ) -> StreamingQuery:
-    """Label the messages of one topic and publish them to the next."""
+    """Label the messages of one topic and publish them to the next, each under its key.
+
+    Records that are no message with a text go to ``error_table`` as they came.
+    """
+    run = run_name(spark, checkpoint)
 
     def relay(batch: DataFrame, batch_id: int) -> None:
-        records = decode_value(batch).filter(F.col("raw_data").isNotNull())
-        sent = records.select(F.inline(F.array(F.from_json("raw_data", SENT_MESSAGE))))
-        topics.publish(to_envelope(classify(sent)), target_topic)
+        records = decode_value(batch, keep_key=True, unwrap=True).withColumnRenamed("key", "_key")
+        ingested = ingest_json(records, SENT_MESSAGE, key="message", with_id=False, keep=["_key"])
+        parsed = ingested.parsed.persist(StorageLevel.MEMORY_AND_DISK)
+        ingested = replace(ingested, parsed=parsed)
+        try:
+            sent = parsed.filter(ingested.is_valid).select("_key", *SENT_MESSAGE.names)
+            labelled = classify(sent)
+            fields = [F.col(c) for c in labelled.columns if c != "_key"]
+            value = F.to_json(F.struct(*fields)).alias("value")
+            topics.publish(labelled.select(F.col("_key").alias("key"), value), target_topic)
+            if not ingested.invalid.isEmpty():
+                quarantine(ingested.invalid, error_table, batch_id, error_location, run)
+        finally:
+            parsed.unpersist()
 
     return start_batches(
         topics.stream(spark, source_topic, **source_options),

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palabre.functions.records import decode_value
-from palabre.functions.sizes import broadcast_if_small
 from palabre.operators.replies import reply_messages, reply_users, table_as_json
 from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN
 from palabre.sources.tables import read_table, table_exists
@@ -28,6 +27,12 @@ def _missing(spark: SparkSession, *tables: str) -> bool:
     return not all(table_exists(spark, table) for table in tables)
 
 
+def _fresh(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now: another stream may have rewritten a partition since."""
+    spark.catalog.refreshTable(table)
+    return read_table(spark, table)
+
+
 def messages_reply(messages: str, metadata: str, **options) -> ReplyBuilder:
     """Replies with all messages and their status; ``[]`` while a table is missing."""
 
@@ -36,8 +41,8 @@ def messages_reply(messages: str, metadata: str, **options) -> ReplyBuilder:
         if _missing(spark, messages, metadata):
             return empty_reply(spark, request_key)
         return reply_messages(
-            read_table(spark, messages),
-            read_table(spark, metadata),
+            _fresh(spark, messages),
+            _fresh(spark, metadata),
             request_key=request_key,
             **options,
         )
@@ -51,19 +56,14 @@ def parse_credentials(requests: DataFrame) -> DataFrame:
 
 
 def users_reply(users: str, **options) -> ReplyBuilder:
-    """Replies with all users if a request's credentials are right, else an error.
-
-    The requests' credentials are broadcast when their measured size is small.
-    """
+    """Replies with all users if a request's credentials are right, else an error."""
 
     def build(requests: DataFrame, request_key: str | None) -> DataFrame:
         spark = requests.sparkSession
         if _missing(spark, users):
             return empty_reply(spark, request_key)
-        credentials, _ = broadcast_if_small(parse_credentials(requests).dropna().distinct())
-        return reply_users(
-            read_table(spark, users), credentials, request_key=request_key, **options
-        )
+        credentials = parse_credentials(requests).dropna()
+        return reply_users(_fresh(spark, users), credentials, request_key=request_key, **options)
 
     return build
 
@@ -75,7 +75,7 @@ def table_reply(table: str, **options) -> ReplyBuilder:
         spark = requests.sparkSession
         if _missing(spark, table):
             return empty_reply(spark, request_key)
-        return table_as_json(read_table(spark, table), request_key=request_key, **options)
+        return table_as_json(_fresh(spark, table), request_key=request_key, **options)
 
     return build
 

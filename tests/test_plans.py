@@ -30,7 +30,7 @@ def no_broadcast(spark):
 
 @pytest.mark.parametrize(
     "key",
-    [k for k in sorted(QUERIES) if k not in ("classify_with_model",) and "stream" not in k],
+    [k for k in sorted(QUERIES) if not k.startswith("classify_with") and "stream" not in k],
 )
 def test_no_python_and_no_cross_join(spark, key):
     plan = QUERIES[key](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
@@ -64,9 +64,10 @@ def test_verdicts_are_counted_before_the_join(spark, no_broadcast):
     assert "partial_count" in plan
 
 
-def test_hot_branches_vanish_when_nothing_is_hot(spark, no_broadcast):
+def test_left_join_counts_nothing_and_has_no_outer_join(spark, no_broadcast):
     plan = final_plan(QUERIES["messages_raw_left_join"](spark, SF_DIR))
-    assert plan.count("SortMergeJoin") == 1 and "LeftOuter" in plan
+    assert plan.count("SortMergeJoin") == 2 and "LeftOuter" not in plan and "count" not in plan
+    assert "Broadcast" not in plan
 
 
 def test_registration_cuts_before_the_shuffle(spark):

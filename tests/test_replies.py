@@ -12,10 +12,6 @@ from palabre import operators as ops
 from palabre import schemas
 
 
-def elements(reply):
-    return [item for row in reply for item in json.loads(row["value"])]
-
-
 def test_small_table_is_one_message(spark):
     df = spark.createDataFrame([(1, "a"), (2, None)], "n int, t string")
     [row] = ops.json_reply(df).collect()
@@ -38,18 +34,43 @@ def test_empty_table(spark):
     assert [tuple(r) for r in ops.table_as_json(empty, request_key="r").collect()] == [("r", "[]")]
 
 
-@pytest.mark.parametrize("spread_by", [None, ["n"]])
-def test_messages_are_bounded_and_whole(spark, spread_by):
+def elements_of(reply):
+    return [item for row in reply if row["value"].startswith("[") for item in json.loads(row["value"])]
+
+
+@pytest.mark.parametrize("encoding", ["object", "string"])
+def test_messages_are_bounded_and_whole(spark, encoding):
     df = spark.range(1000).select(F.col("id").alias("n"), F.repeat(F.lit("x"), 50).alias("t"))
-    reply = ops.json_reply(df, spread_by=spread_by, max_rows=30, max_bytes=1000).collect()
-    sizes = [len(json.loads(r["value"])) for r in reply]
-    assert max(sizes) <= 30
-    assert max(len(r["value"]) for r in reply) < 1000 + 70
-    assert sorted(e["n"] for e in elements(reply)) == list(range(1000))
+    reply = ops.json_reply(df, encoding=encoding, max_rows=30, max_bytes=1000).collect()
+    [closing] = [r for r in reply if r["key"] == "parts"]
+    messages = [r for r in reply if r["key"] != "parts"]
+    assert json.loads(closing["value"]) == {"parts": len(messages)}
+    assert max(len(json.loads(r["value"])) for r in messages) <= 30
+    assert max(len(r["value"]) for r in messages) <= 1000
+    texts = elements_of(messages)
+    items = [json.loads(t) for t in texts] if encoding == "string" else texts
+    assert sorted(e["n"] for e in items) == list(range(1000))
     keys = [r["key"] for r in reply]
     assert len(set(keys)) == len(keys) and None not in keys
 
 
+def test_a_large_result_has_no_bare_key(spark):
+    """Few rows, but many bytes; one record is longer than a message."""
+    df = spark.range(40).select("id", F.repeat(F.lit('"'), F.when(F.col("id") == 3, 9000).otherwise(300).cast("int")).alias("t"))
+    for encoding in ("object", "string"):
+        reply = ops.json_reply(df, encoding=encoding, request_key="r", max_bytes=4000).collect()
+        assert "r" not in {r["key"] for r in reply} and "r/parts" in {r["key"] for r in reply}
+        long = [r for r in reply if len(r["value"]) > 4000]
+        assert len(long) == 1 and len(json.loads(long[0]["value"])) == 1
+
+
+def test_records_without_names_are_spread(spark):
+    df = spark.range(5000).select(F.lit(None).cast("string").alias("id"), (F.col("id") % 2500).alias("n"))
+    reply = ops.json_reply(df, max_rows=50).collect()
+    buckets = {r["key"].split("-")[0] for r in reply if r["key"] != "parts"}
+    assert len(buckets) > 50 and len(elements_of(reply)) == 5000
+
+
 def test_same_cut_on_every_layout(spark):
     df = spark.range(500).select((F.col("id") % 7).alias("n"))
     first = Counter(map(tuple, ops.json_reply(df, max_rows=20).collect()))
@@ -68,8 +89,8 @@ def test_same_cut_on_every_layout(spark):
 def test_copies_are_kept(spark, values, max_rows, max_bytes):
     df = spark.createDataFrame([(v,) for v in values], "n int")
     reply = ops.json_reply(df, max_rows=max_rows, max_bytes=max_bytes).collect()
-    assert all(len(json.loads(r["value"])) <= max_rows for r in reply)
-    assert Counter(e["n"] for e in elements(reply)) == Counter(values)
+    assert all(len(json.loads(r["value"])) <= max_rows for r in reply if r["value"].startswith("["))
+    assert Counter(e["n"] for e in elements_of(reply)) == Counter(values)
 
 
 def test_one_record_in_most_rows(spark):
@@ -79,9 +100,11 @@ def test_one_record_in_most_rows(spark):
     )
     reply = ops.json_reply(df, max_rows=50)
     rows = reply.collect()
-    assert Counter(e["n"] for e in elements(rows))[-1] == 2500
+    assert Counter(e["n"] for e in elements_of(rows))[-1] == 2500
     per_bucket = Counter()
     for r in rows:
+        if r["key"] == "parts":
+            continue
         per_bucket[r["key"].split("-")[0]] += len(json.loads(r["value"]))
     assert len(per_bucket) > 20 and max(per_bucket.values()) < 500
 

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructType
 
 from palabre import schemas
 from palabre.operators import classify_messages
-from palabre.sources import FileTopics, read_table, write_batch
+from palabre.sources import FileTopics, compact_batches, read_table, write_batch
 from palabre.streaming import (
     IngestJob,
     ingest_batch,
@@ -206,7 +206,8 @@ def test_registration_stream(spark, scratch, name):
     topics = FileTopics(f"{scratch}/topics")
 
     def register(*records):
-        send(spark, topics, "register", [json.dumps(r) for r in records])
+        if records:
+            send(spark, topics, "register", [json.dumps(r) for r in records])
         start_registration(
             spark, topics, "register", name, f"{scratch}/ckpt", available_now=True
         ).awaitTermination()
@@ -217,9 +218,12 @@ def test_registration_stream(spark, scratch, name):
     other = {"nom": "other", "email": "b@x", "date_inscription": "2024-01-01 00:00:00"}
     assert register(late, early) == ["early"]
     assert register(late, other) == ["early", "other"]
+    send(spark, topics, "register", ["not json"])
+    assert register() == ["early", "other"]
+    assert [r["corrupt_record"] for r in read_table(spark, f"{name}_errors").collect()] == ["not json"]
 
 
-def test_classifier_stream(spark, scratch):
+def test_classifier_stream(spark, scratch, name):
     topics = FileTopics(f"{scratch}/topics")
     send(
         spark, topics, "send_message",
@@ -237,6 +241,17 @@ def test_classifier_stream(spark, scratch):
     sent = {json.loads(v)["id"]: json.loads(v) for _, v in replies(spark, topics, "ia_message")}
     assert sent["1"]["type"] == "inapproprié" and sent["2"]["type"] == "approprié"
     assert sent["1"]["Created_At"] == "2021-07-07 14:00:00"
+    # Malformed records are kept as they came; the key stays, a doubled encoding doesn't.
+    send(spark, topics, "send_message", ["not json", '{"id":"3"}', None], key="chat")
+    send(spark, topics, "send_message", ['"{\\"id\\":\\"4\\",\\"message\\":\\"moche\\"}"'], key="chat")
+    start_classifier(
+        spark, topics, lambda df: classify_messages(df, scorer), f"{scratch}/ckpt", available_now=True,
+        error_table=name,
+    ).awaitTermination()
+    after = replies(spark, topics, "ia_message")
+    assert len(after) == 3
+    assert [json.loads(v)["type"] for k, v in after if k == "chat"] == ["inapproprié"]
+    assert sorted(r[0] for r in read_table(spark, name).select("corrupt_record").collect()) == ["not json", '{"id":"3"}']
 
 
 def test_router_stream(spark, scratch):
@@ -248,16 +263,27 @@ def test_router_stream(spark, scratch):
 
 
 def test_batch_write_replaces_only_its_own_batch(spark, name):
-    schema = StructType().add("id", StringType())
+    schema = StructType().add("id", StringType()).add("_own", "integer")
     spark.sql(
-        f"CREATE TABLE {name} (id STRING, _batch_id BIGINT) USING orc PARTITIONED BY (_batch_id)"
+        f"CREATE TABLE {name} (id STRING, _own INT, _batch_run STRING, _batch_id BIGINT) USING orc "
+        "PARTITIONED BY (_batch_run, _batch_id)"
     )
-    first = spark.createDataFrame([("a",), ("b",)], schema)
-    second = spark.createDataFrame([("c",)], schema)
+    first = spark.createDataFrame([("a", 1), ("b", 2)], schema)
+    second = spark.createDataFrame([("c", 3)], schema)
     write_batch(first, name, 1)
     write_batch(second, name, 2)
     write_batch(first, name, 1)
-    assert sorted(r["id"] for r in read_table(spark, name).collect()) == ["a", "b", "c"]
+    rows = read_table(spark, name)
+    assert rows.columns == ["id", "_own"]
+    assert sorted(r["id"] for r in rows.collect()) == ["a", "b", "c"]
+    write_batch(second, name, 1, run="another")
+    assert sorted(r["id"] for r in read_table(spark, name).collect()) == ["a", "b", "c", "c"]
+    compact_batches(spark, name, "main", 3)
+    assert sorted(r["id"] for r in read_table(spark, name).collect()) == ["a", "b", "c", "c"]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 2
+    write_batch(second, name, 3)
+    compact_batches(spark, name, "main", 4)
+    assert read_table(spark, name).count() == 5
 
 
 def test_publications_may_run_at_once(spark, scratch):

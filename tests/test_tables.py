@@ -115,3 +115,8 @@ def test_formats(spark, name, table_format):
     ensure_table(spark, name, schemas.ROBUST_TEST, file_format=table_format)
     append_table(spark.createDataFrame([(1, "é", None)], schemas.ROBUST_TEST), name)
     assert read_table(spark, name).first()["value"] == "é"
+
+
+def test_kafka_sink_options():
+    topics = KafkaTopics("k:1", options={"kafka.security.protocol": "SSL", "maxOffsetsPerTrigger": "5"})
+    assert topics.sink_options() == {"kafka.bootstrap.servers": "k:1", "kafka.security.protocol": "SSL"}
