@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from palabre.llm.common import ids_and_texts
 
 #: Entries of a worker's caches; a full cache starts anew.
-CACHE = 300_000
+CACHE = 800_000
 #: Only strings of up to so many bytes are kept in caches.
 SHORT = 64
 NEVER = 1 << 60
@@ -37,15 +37,19 @@ class Vocabulary:
         self.tokens: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
-        self.longest = max(map(len, ranks))
         self._halves: dict[int, tuple[int, int] | None] = {}
-        #: The last token of prefixes that were met.
+        #: The last token of prefixes that were met; with a prefix all shorter ones are there.
         self.prefixes: dict[bytes, int] = {}
         #: For left << 32 | right, whether the two tokens may stand side by side.
         self.known: dict[int, bool] = {}
         self._edges: dict[tuple[int, bool], list[tuple[bytes, int, int]]] = {}
         #: The tokens that merging can lead to; others only stand for a whole piece.
         self.usable = {t: r for t, r in ranks.items() if self.halves(r) != (r, r)}
+        #: The length of the longest of them that ends with these three bytes.
+        self.longest: dict[bytes, int] = {}
+        for token in self.usable:
+            if len(token) > 2:
+                self.longest[token[-3:]] = max(len(token), self.longest.get(token[-3:], 0))
 
     @classmethod
     def from_file(cls, path: str) -> Vocabulary:
@@ -110,6 +114,46 @@ class Vocabulary:
         return True
 
 
+    def ending(self, data: bytes, end: int, last: Callable[[int], int]) -> int:
+        """The last token of the first ``end`` bytes, if ``last`` has that of shorter prefixes."""
+        usable, known = self.usable.get, self.known.get
+        longest = self.longest.get(data[end - 3 : end], 2) if end > 2 else end
+        for begin in range(end - longest if end > longest else 0, end):
+            token = usable(data[begin:end])
+            if token is None:
+                continue
+            if not begin:
+                return token
+            left = last(begin)
+            fit = known(left << 32 | token)
+            if fit is None:
+                fit = self.fits(left, token)
+            if fit:
+                return token
+        raise ValueError(f"no token ends with byte {data[end - 1]}")
+
+    def encode_short(self, data: bytes) -> tuple[int, ...]:
+        """The tokens of a short string; last tokens of prefixes it shares are looked up."""
+        shared = self.prefixes
+        if len(shared) >= CACHE:
+            shared.clear()
+        n = start = len(data)
+        while start and data[:start] not in shared:
+            start -= 1
+
+        def last(begin: int) -> int:
+            return shared[data[:begin]]
+
+        for end in range(start + 1, n + 1):
+            shared[data[:end]] = self.ending(data, end, last)
+        out = []
+        while n:
+            token = shared[data[:n]]
+            out.append(token)
+            n -= len(self.tokens[token])
+        return tuple(out[::-1])
+
+
 class PrefixTable:
     """The valid last token of each prefix of a byte string."""
 
@@ -121,39 +165,13 @@ class PrefixTable:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        """Add bytes; the table so far stays as it is.
-
-        Last tokens of prefixes that other strings had too are looked up.
-        """
-        last, longest = self.last, self.vocabulary.longest
-        usable, known, fits = self.vocabulary.usable.get, self.vocabulary.known.get, self.vocabulary.fits
+        """Add bytes; the table so far stays as it is."""
+        last, ending = self.last, self.vocabulary.ending
         start = len(self.data)
         self.data += more
         data = bytes(self.data)
-        shared = self.vocabulary.prefixes
-        if len(shared) >= CACHE:
-            shared.clear()
-        short = len(data) <= SHORT
         for end in range(start + 1, len(data) + 1):
-            if short and (token := shared.get(data[:end])) is not None:
-                last.append(token)
-                continue
-            for begin in range(end - longest if end > longest else 0, end):
-                token = usable(data[begin:end])
-                if token is None:
-                    continue
-                if begin:
-                    fit = known(last[begin - 1] << 32 | token)
-                    if fit is None:
-                        fit = fits(last[begin - 1], token)
-                    if not fit:
-                        continue
-                last.append(token)
-                if short:
-                    shared[data[:end]] = token
-                break
-            else:
-                raise ValueError(f"no token ends with byte {data[end - 1]}")
+            last.append(ending(data, end, lambda begin: last[begin - 1]))
 
     def replace(self, begin: int, end: int, new: bytes) -> None:
         """Put ``new`` in the place of bytes ``begin`` to ``end``; what is before stays."""
@@ -181,7 +199,12 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> tuple[int, ...]:
         data = piece.encode("utf-8", "replace")
         whole = self.vocabulary.ranks.get(data)
-        ids = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).ids())
+        if whole is not None:
+            ids = (whole,)
+        elif len(data) > SHORT:
+            return tuple(PrefixTable(self.vocabulary, data).ids())
+        else:
+            ids = self.vocabulary.encode_short(data)
         if len(data) <= SHORT:
             if len(self) >= CACHE:
                 self.clear()
