@@ -69,8 +69,11 @@ def only_ids(docs: DataFrame, ids: DataFrame, most_bits: int = 1 << 25) -> DataF
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """The rows whose id is in ``ids``, one for each id; rows without an id all stay."""
+    """The rows whose id is in ``ids``, repeated ones (same id and text) once.
+
+    Rows without an id all stay.
+    """
     named = docs.filter(F.col(f"`{id_column}`").isNotNull())
     wanted = ids.select(F.col("doc_id").alias(id_column))
-    kept = named.join(wanted, id_column, "left_semi").dropDuplicates([id_column])
+    kept = named.join(wanted, id_column, "left_semi").dropDuplicates([id_column, "text"])
     return kept.unionByName(docs.filter(F.col(f"`{id_column}`").isNull()))
