@@ -223,7 +223,8 @@ def _leftover_links(buckets: DataFrame, links: DataFrame, members: DataFrame, pe
     largest = (
         counted.groupBy("bucket")
         .agg(F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1")
+        # In a bucket of two, the pair was compared already.
+        .filter("parts > 1 and n > 2")
         .select(
             "bucket",
             F.col("most.part").alias("main"),
