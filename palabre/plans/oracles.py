@@ -312,4 +312,9 @@ ORACLES: dict[str, str] = {
     "stream_classifier_rejects": f"""WITH {_RAW_MESSAGES}
         SELECT record AS corrupt_record
         FROM parsed WHERE record IS NOT NULL AND (data->>'$.message') IS NULL""",
+    "stream_chat": f"""WITH records AS (
+            SELECT CAST(to_json({{'message': text, 'Created_At': '2024-05-06T07:08:09.000Z',
+                'user_id': CASE WHEN role = 'system' THEN '' ELSE role END, 'chat_id': '0',
+                'type': {_label('text')}, 'valide': 'false'}}) AS VARCHAR) AS record, 1 AS copies
+            FROM conversations) {_RECORDS}""",
 }

@@ -73,8 +73,9 @@ RETAIL_USERS = IngestJob(
 )
 
 
-def _placed(job: IngestJob, warehouse: str | None) -> IngestJob:
+def _placed(job: IngestJob, warehouse: str | None, prefix: str = "") -> IngestJob:
     """The job with its tables under a folder of their own, each at its own place."""
+    job = replace(job, table=prefix + job.table, error_table=prefix + job.error_table)
     if warehouse is None:
         return job
     return replace(
@@ -95,6 +96,7 @@ def start_chat(
     classify: Callable[[DataFrame], DataFrame] | None = None,
     unique_users: bool = False,
     reply_interval: str | None = None,
+    prefix: str = "",
     **source_options: str,
 ) -> list[StreamingQuery]:
     """Ingest users, messages and verdicts, and answer requests for users and messages.
@@ -104,12 +106,13 @@ def start_chat(
     choose it for the size that they will reach. With ``classify`` sent messages are
     labelled on their way; with ``unique_users`` an e-mail registers once.
     ``reply_interval`` bounds how often requests are answered (default: ``interval``).
+    ``prefix`` goes before the tables' names, for instance a database and a dot.
     """
     ingests = [
         start_ingest(
             spark,
             topics,
-            replace(_placed(job, warehouse), buckets=buckets),
+            replace(_placed(job, warehouse, prefix), buckets=buckets),
             f"{checkpoints}/{job.table}",
             interval=interval,
             available_now=available_now,
@@ -118,14 +121,14 @@ def start_chat(
         for job in ((MESSAGES, METADATA) if unique_users else (USERS, MESSAGES, METADATA))
     ]
     if unique_users:
-        users = _placed(USERS, warehouse)
+        users = _placed(USERS, warehouse, prefix)
         ingests.append(
             start_registration(
                 spark,
                 topics,
                 users.topic,
                 users.table,
-                f"{checkpoints}/{users.table}",
+                f"{checkpoints}/{USERS.table}",
                 interval=interval,
                 available_now=available_now,
                 location=users.location,
@@ -145,14 +148,15 @@ def start_chat(
                 f"{checkpoints}/classifier",
                 interval=interval,
                 available_now=available_now,
+                error_table=f"{prefix}send_message_errors",
                 error_location=f"{warehouse}/send_message_errors" if warehouse else None,
                 **source_options,
             ),
         )
     replies = {
-        (schemas.SEND_USERS, schemas.GET_USERS): users_reply(USERS.table),
+        (schemas.SEND_USERS, schemas.GET_USERS): users_reply(prefix + USERS.table),
         (schemas.SEND_ALL_MESSAGES, schemas.GET_ALL_MESSAGES): messages_reply(
-            MESSAGES.table, METADATA.table
+            prefix + MESSAGES.table, prefix + METADATA.table
         ),
     }
     responders = [

@@ -28,7 +28,7 @@ from palabre.sources import (
     spread,
     write_batch,
 )
-from palabre.plans.platform import MESSAGES, METADATA
+from palabre.plans.platform import MESSAGES, METADATA, start_chat
 from palabre.sources.tables import BATCH_PARTITIONS, DATE_COLUMNS
 from palabre.streaming import (
     IngestJob,
@@ -781,3 +781,45 @@ def stream_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.ingest_json(labelled, schemas.MESSAGE, keep_id=True).valid.select(
         "id", "message", "type"
     )
+
+
+@query
+def stream_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chat: turns are sent, labelled, stored and replied to a request."""
+    root, prefix = shared_dir(spark, "chat"), f"chat_{uuid.uuid4().hex}_"
+    topics = FileTopics(f"{root}/topics")
+    verdicts = _time_as_text(fx.verdicts(spark, sf_dir), "date")
+    registrations = _time_as_text(fx.registrations(spark, sf_dir), "date_inscription")
+    for rows, topic in (
+        (to_envelope(normalize_message(spark, sf_dir)), schemas.SEND_MESSAGE),
+        (to_envelope(verdicts), schemas.CHECK_MESSAGE),
+        (to_envelope(registrations), schemas.REGISTER),
+        (to_envelope(fx.credentials(spark, sf_dir)), schemas.SEND_USERS),
+    ):
+        topics.publish(rows, topic)
+
+    def run() -> None:
+        started = start_chat(
+            spark,
+            topics,
+            f"{root}/checkpoints",
+            f"{root}/tables",
+            available_now=True,
+            buckets=4,
+            classify=lambda df: ops.classify_messages(df, punctuation_scores),
+            unique_users=True,
+            prefix=prefix,
+        )
+        for each in started:
+            each.awaitTermination()
+
+    # Labelled in the first run, stored in the second, asked for in the third.
+    topics.publish(spark.createDataFrame([("early", "{}")], schemas.REPLY), schemas.SEND_ALL_MESSAGES)
+    topics.publish(spark.createDataFrame([], schemas.REPLY), schemas.IA_MESSAGE)
+    run()
+    run()
+    topics.publish(spark.createDataFrame([("r", "{}")], schemas.REPLY), schemas.SEND_ALL_MESSAGES)
+    run()
+    reply = decode_value(topics.read(spark, schemas.GET_ALL_MESSAGES), keep_key=True)
+    reply = reply.select("key", F.col("raw_data").alias("value")).filter(F.startswith("key", F.lit("r")))
+    return _contract(reply, "r")

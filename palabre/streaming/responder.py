@@ -14,7 +14,7 @@ from palabre.operators.replies import reply_messages, reply_users, table_as_json
 from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN
 from palabre.sources.tables import read_table, table_exists
 from palabre.sources.topics import Topics
-from palabre.streaming.queries import start_batches
+from palabre.streaming.queries import run_name, start_batches
 
 ReplyBuilder = Callable[[DataFrame, str | None], DataFrame]
 
@@ -80,10 +80,20 @@ def table_reply(table: str, **options) -> ReplyBuilder:
     return build
 
 
-def request_key_of(requests: DataFrame) -> str | None:
-    """The key shared by all requests of a batch, if there is just one."""
-    keys = requests.select(F.col("key").cast("string").alias("key")).distinct().limit(2).collect()
-    return keys[0]["key"] if len(keys) == 1 else None
+def answer_requests(requests: DataFrame, build: ReplyBuilder, name: str) -> DataFrame:
+    """One reply for all requests of a batch.
+
+    If they share a key, the reply has it. Else the reply has the key ``name`` and each
+    request's key gets a message that points to it: ``{"reply": name}``.
+    """
+    key = F.col("key").cast("string").alias("key")
+    keys = requests.select(key).distinct()
+    first = keys.limit(2).collect()
+    if len(first) == 1:
+        return build(requests, first[0]["key"])
+    pointer = F.to_json(F.struct(F.lit(name).alias("reply"))).alias("value")
+    pointers = keys.filter(F.col("key").isNotNull()).select("key", pointer)
+    return build(requests, name).unionByName(pointers)
 
 
 def start_responder(
@@ -99,10 +109,12 @@ def start_responder(
 ) -> StreamingQuery:
     """Answer each non-empty batch of requests with one reply."""
 
+    run = run_name(spark, checkpoint)
+
     def answer(batch: DataFrame, batch_id: int) -> None:
         requests = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            topics.publish(build(requests, request_key_of(requests)), reply_topic)
+            topics.publish(answer_requests(requests, build, f"{run}-{batch_id}"), reply_topic)
         finally:
             requests.unpersist()
 

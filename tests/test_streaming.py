@@ -293,3 +293,16 @@ def test_publications_may_run_at_once(spark, scratch):
         list(pool.map(lambda v: send(spark, topics, "busy", v), values))
     got = sorted(v for _, v in replies(spark, topics, "busy"))
     assert got == sorted(v for group in values for v in group)
+
+
+def test_mixed_requests_point_to_one_reply(spark, scratch, name):
+    topics = FileTopics(f"{scratch}/topics")
+    user_table(spark, name)
+    for key in ("a", "b", None):
+        send(spark, topics, "send_users", ['{"email":"a@x.com","password":"pw1"}'], key=key)
+    start_responder(
+        spark, topics, "send_users", "get_users", users_reply(name), f"{scratch}/ckpt", available_now=True
+    ).awaitTermination()
+    got = dict(replies(spark, topics, "get_users"))
+    assert len(got) == 3 and got["a"] == got["b"]
+    assert {u["nom"] for u in json.loads(got[json.loads(got["a"])["reply"]])} == {"Alice", "Bob"}
