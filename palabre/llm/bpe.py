@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -246,8 +247,6 @@ def encode_documents(
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
         path = rank_file if os.path.exists(rank_file) else SparkFiles.get(os.path.basename(rank_file))
         coder = encoder(path, pattern)
         decimal = [str(i) for i in range(len(coder.vocabulary.tokens))]

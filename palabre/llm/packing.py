@@ -32,6 +32,8 @@ CAPACITY = 2048
 END_ID = 0
 #: Pieces that are numbered within one task, about.
 NUMBERED = 100_000
+# Fixed value: how byte-level BPE files of this kind part a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 @dataclass(frozen=True)
@@ -167,8 +169,7 @@ def _encoding(path: str) -> tiktoken.Encoding:
         for token, rank in model["model"]["vocab"].items()
         if token not in special
     }
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_pieces(
