@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 from palabre import operators as ops
 from palabre import schemas
 from palabre.plans import fixtures as fx
+from palabre.plans import platform
 from palabre.plans.queries import QUERIES
+from palabre.sources import read_table, write_batch
 from tests.oracle import SF_DIR
 
 
@@ -91,3 +95,20 @@ def test_small_credentials_are_broadcast(spark):
 def test_existence_stops_at_the_first_match(spark):
     plan = QUERIES["branch_on_match"](spark, SF_DIR)._jdf.queryExecution().toString()
     assert "CollectLimit 1" in plan
+
+
+def test_chat_tables_join_without_a_shuffle(spark, no_broadcast, scratch):
+    """In the layout that the chat's own jobs create, neither side moves."""
+    tables = []
+    for job, rows in (
+        (platform.MESSAGES, fx.messages(spark, SF_DIR)),
+        (platform.METADATA, fx.verdicts(spark, SF_DIR).withColumn("id", F.col("id_message"))),
+    ):
+        name = f"t_{uuid.uuid4().hex[:12]}"
+        job = replace(job, table=name, buckets=4, location=f"{scratch}/{name}")
+        job.create_table(spark)
+        write_batch(rows, name, 0, cluster_by=job.bucket_by)
+        tables.append(read_table(spark, name))
+    plan = final_plan(ops.messages_with_status(*tables))
+    assert plan.count("Bucketed: true") >= 2 and "SortMergeJoin" in plan
+    assert "Exchange hashpartitioning(id" not in plan
