@@ -63,7 +63,7 @@ def base_features(docs: DataFrame) -> DataFrame:
             F.xxhash64(F.get(word, i), F.get(word, i + 1), F.get(word, i + 2)).alias("h"), i.alias("i")
         ),
     )
-    sorted_ = split.withColumn("windows", F.array_sort(windows))
+    sorted_ = split.withColumn("windows", F.sort_array(windows))
     # Equal windows are neighbours now: keep those with an equal one beside them.
     near = F.col("windows")
     repeated = sorted_.withColumn(
