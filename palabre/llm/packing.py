@@ -14,8 +14,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -172,6 +173,35 @@ def _encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("corpus", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Texts to ids as the tokenizers library has them, without tokens it would put around them.
+
+    The library finds the file's added tokens in a text before all else, special ones too:
+    the leftmost first, of those the longest.
+    """
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    encoding = _encoding(path)
+    added = {t["content"]: t["id"] for t in model["added_tokens"]}
+    if any(t.get(flag) for t in model["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"{path} has added tokens that take in or need what is beside them")
+    if not added:
+        return encoding.encode_ordinary
+    parted = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})")
+
+    def encode(text: str) -> list[int]:
+        ids: list[int] = []
+        for i, part in enumerate(parted.split(text)):
+            if i % 2:
+                ids.append(added[part])
+            elif part:
+                ids.extend(encoding.encode_ordinary(part))
+        return ids
+
+    return encode
+
+
 def token_pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -187,11 +217,11 @@ def token_pieces(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         path = tokenizer if os.path.exists(tokenizer) else SparkFiles.get(os.path.basename(tokenizer))
-        encoding = _encoding(path)
+        encode = encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.array([*encoding.encode_ordinary(text), end_id], dtype="<u4")
+                ids = np.array([*encode(text), end_id], dtype="<u4")
                 first = (len(ids) - 1) % capacity + 1
                 starts = [0, *range(first, len(ids), capacity)]
                 for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
@@ -260,8 +290,8 @@ def pack_documents(
     """All documents as pieces with their places in sequences of at most ``capacity`` ids.
 
     Returns ``doc_id, piece, start, length, ids`` (or ``ids_crc32``), ``sequence_id, offset``.
-    ``tokenizer`` is a byte-level BPE file of the tokenizers library; strings of special
-    tokens are ordinary text. A missing or empty text is the end id alone. Repeated rows
+    ``tokenizer`` is a byte-level BPE file of the tokenizers library; strings of its added
+    tokens get their ids, as there. A missing or empty text is the end id alone. Repeated rows
     are packed as often as they occur, rows without a doc_id too. No row is dropped.
     """
     pieces = stage(token_pieces(docs, tokenizer, capacity, end_id, digests_only), "pieces")

@@ -439,3 +439,15 @@ def test_packed_ids_are_the_text(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = {r.doc_id: r for r in pack_documents(df, public_tokenizers.path("byte_bpe_50k.json"), capacity=16).collect()}
     assert tokenizer.decode(rows[1].ids[:-1]) == "the cat" and rows[2].ids == [0]
+
+
+def test_added_tokens_get_their_ids(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end}x", f"x{end}\n\n y  {end}  z", end[:-1], f"{end}'s {end.upper()}", f"é{end}日本 {end}\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bound_batches(spark)
+    got = {r.doc_id: r.ids for r in pack_documents(df, path, capacity=64).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
