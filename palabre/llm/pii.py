@@ -16,21 +16,51 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+# How long the account numbers of each country are.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD TG",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = "|".join(
+    f"(?:{'|'.join(countries.split())})[0-9]{{2}}(?:[ ]?[A-Z0-9]){{{n - 4}}}" for n, countries in IBAN_LENGTHS.items()
+)
+_KNOWN = rf"\b(?:{_KNOWN})\b"
+# Other countries, up to where a number of known length begins.
+_UNKNOWN = (
+    rf"\b(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}"
+    rf"(?:[ ]?(?!{_KNOWN})[A-Z0-9]{{4}}){{2,7}}(?:[ ]?(?!{_KNOWN})[A-Z0-9]{{1,3}})?\b"
+)
 # The forms in which private values are written, the first that fits counts.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMS = {
     "secret": r"\b(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,}",
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b",
+    "iban": f"{_KNOWN}|{_UNKNOWN}",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
+#: A whole run of groups of digits, up to a group that another form begins with. Card numbers are looked for within.
+FORMS["card"] = (
+    r"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++"
+    rf"(?:[ -](?!{'|'.join(FORMS[k] for k in ('ip', 'date', 'ssn', 'phone'))})[0-9]++)*+"
+)
+#: Forms with letters go first; what fails of them is searched for those of digits.
+LETTERS, DIGITS = ("secret", "email", "iban"), ("ip", "date", "ssn", "phone", "card")
 #: What any private value has; other texts aren't searched.
 HINT = r"[0-9@=:]"
-PATTERN = "|".join(f"(?:{form})" for form in FORMS.values())
+LETTERS_HINT = r"[@=:]|[A-Z]{2}[0-9]{2}"
+LETTERS_PATTERN, DIGITS_PATTERN = ("|".join(f"(?:{FORMS[k]})" for k in kinds) for kinds in (LETTERS, DIGITS))
+# First digits and lengths of the common brands of cards.
+BRANDS = (
+    r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}"
+    r"|35[0-9]{14,17}|6(?:011|[245][0-9]{2})[0-9]{12,15})$"
+)
+CARD_DIGITS = range(19, 12, -1)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -111,6 +141,10 @@ def _luhn_sum(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), add)
 
 
+def _valid_card(digits: Column) -> Column:
+    return (_luhn_sum(digits) % 10 == 0) & digits.rlike("[1-9]")
+
+
 def _card(text: Column, key: str, back: bool) -> Column:
     def run(d: Column) -> Column:
         payload = F.substr(d, F.lit(1), F.length(d) - 1)
@@ -119,8 +153,80 @@ def _card(text: Column, key: str, back: bool) -> Column:
             check = F.pmod(-_luhn_sum(F.concat(p, F.lit("0"))), F.lit(10))
             return _refill(text, F.concat(p, check.cast("string")))
 
-        valid = (_luhn_sum(d) % 10 == 0) & d.rlike("[1-9]")
-        return F.when(valid, let(permuted_digits(payload, key, "card", back), checked)).otherwise(text)
+        return let(permuted_digits(payload, key, "card", back), checked)
+
+    return let(_digits(text), run)
+
+
+def _spans(
+    text: Column, fits: Callable[[Column], Column], key: str, back: bool, between: Callable[[Column], Column]
+) -> Column:
+    """Replaces the card numbers among groups of digits, as ``struct(s, n)`` with their number.
+
+    A card number begins and ends with a group and has digits that ``fits``: the leftmost
+    first, of those the longest. What is left between them goes through ``between``.
+    """
+
+    def first(rest: Column) -> Column:
+        forms = [rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])" for n in CARD_DIGITS]
+        # No span is longer than its digits and what is between them, and the character after it.
+        near = F.substr(rest, F.lit(1), F.lit(2 * CARD_DIGITS[0]))
+        spans = F.array(*[F.regexp_extract(near, form, 0) for form in forms])
+        return F.get(F.filter(spans, lambda x: (x != "") & fits(_digits(x))), F.lit(0))
+
+    def step(state: Column, _: Column) -> Column:
+        def parted(gap: Column) -> Column:
+            rest = F.substr(state["r"], F.length(gap) + 1)
+
+            def put(span: Column) -> Column:
+                group = F.regexp_extract(rest, "^[0-9]+", 0)
+                found = let(
+                    between(F.concat(state["p"], gap)),
+                    lambda old: F.struct(
+                        F.concat(state["s"], old["s"], _card(span, key, back)).alias("s"),
+                        F.lit("").alias("p"),
+                        F.substr(rest, F.length(span) + 1).alias("r"),
+                        (state["n"] + old["n"] + 1).alias("n"),
+                    ),
+                )
+                passed = F.struct(
+                    state["s"].alias("s"),
+                    F.concat(state["p"], gap, group).alias("p"),
+                    F.substr(rest, F.length(group) + 1).alias("r"),
+                    state["n"].alias("n"),
+                )
+                return F.when(span.isNotNull(), found).otherwise(passed)
+
+            return let(first(rest), put)
+
+        return let(F.regexp_extract(state["r"], "^[ -]?", 0), parted)
+
+    def end(state: Column) -> Column:
+        return let(
+            between(state["p"]),
+            lambda old: F.struct(F.concat(state["s"], old["s"]).alias("s"), (state["n"] + old["n"]).alias("n")),
+        )
+
+    start = F.struct(F.lit("").alias("s"), F.lit("").alias("p"), text.alias("r"), F.lit(0).alias("n"))
+    groups = F.sequence(F.lit(1), F.greatest(F.size(F.split(text, "[ -]")), F.lit(1)))
+    return F.aggregate(groups, start, step, end)
+
+
+def _cards(text: Column, key: str, back: bool) -> Column:
+    """The card numbers of a run of digits, as ``struct(s, n)``.
+
+    That is the run itself if it is one. Otherwise spans that a common brand could have
+    go first, so that digits before or after a card number don't take a part of it.
+    """
+
+    def others(rest: Column) -> Column:
+        return _spans(rest, _valid_card, key, back, lambda x: F.struct(x.alias("s"), F.lit(0).alias("n")))
+
+    def run(d: Column) -> Column:
+        whole = F.length(d).between(CARD_DIGITS[-1], CARD_DIGITS[0]) & _valid_card(d)
+        return F.when(whole, F.struct(_card(text, key, back).alias("s"), F.lit(1).alias("n"))).otherwise(
+            _spans(text, lambda x: x.rlike(BRANDS) & _valid_card(x), key, back, others)
+        )
 
     return let(_digits(text), run)
 
@@ -208,6 +314,8 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(text: Column, key: str, back: bool) -> Column:
+    """NULL for one that isn't valid."""
+
     def run(plain: Column) -> Column:
         country, own = F.substring(plain, 1, 2), F.substr(plain, F.lit(5))
         valid = (_mod97(F.concat(own, F.substring(plain, 1, 4))) == 1) & (F.length(_digits(own)) >= 2)
@@ -220,7 +328,7 @@ def _iban(text: Column, key: str, back: bool) -> Column:
 
             return let(_refill(own, d), checked)
 
-        return F.when(valid, let(permuted_digits(_digits(own), key, "iban", back), made)).otherwise(text)
+        return F.when(valid, let(permuted_digits(_digits(own), key, "iban", back), made))
 
     return let(F.replace(text, F.lit(" "), F.lit("")), run)
 
@@ -246,11 +354,15 @@ def _secret(text: Column, key: str, back: bool) -> Column:
 
 
 _MAKERS = {
-    "secret": _secret, "email": _email, "iban": _iban, "ip": _ip,
-    "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
+    "secret": _secret, "email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone,
+    "card": lambda text, key, back: _cards(text, key, back)["s"],
 }
 
 
+def _has_form(value: Column, kind: str) -> Column:
+    return value.rlike(f"^(?:{FORMS[kind]})$")
+
+
 def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     """The pseudonym of a found value, by the first kind whose form it has.
 
@@ -261,37 +373,98 @@ def pseudonym(value: Column, key: str, back: bool = False) -> Column:
     for kind, maker in reversed(_MAKERS.items()):
         if back and kind in ("secret", "email"):
             continue
-        out = F.when(value.rlike(f"^(?:{FORMS[kind]})$"), maker(value, key, back)).otherwise(out)
+        made = F.coalesce(maker(value, key, back), value) if kind == "iban" else maker(value, key, back)
+        out = F.when(_has_form(value, kind), made).otherwise(out)
+    return out
+
+
+def _lettered(value: Column, key: str) -> Column:
+    """The pseudonym of a value whose form has letters, NULL if it isn't valid."""
+    out = F.lit(None).cast("string")
+    for kind in reversed(LETTERS):
+        out = F.when(_has_form(value, kind), _MAKERS[kind](value, key, False)).otherwise(out)
     return out
 
 
+def _digital(text: Column, key: str) -> Column:
+    """The text with all values of digits replaced, as ``struct(s, n)`` with their number."""
+
+    def one(value: Column) -> Column:
+        # A run of digits with no card number in it is of private form, too.
+        def counted(c: Column) -> Column:
+            return F.struct(c["s"].alias("s"), F.greatest(c["n"], F.lit(1)).alias("n"))
+
+        out = F.struct(value.alias("s"), F.lit(0).alias("n"))
+        for kind in reversed(DIGITS):
+            if kind == "card":
+                made = let(_cards(value, key, False), counted)
+            else:
+                made = F.struct(_MAKERS[kind](value, key, False).alias("s"), F.lit(1).alias("n"))
+            out = F.when(_has_form(value, kind), made).otherwise(out)
+        return out
+
+    def put(made: Column) -> Column:
+        pieces = F.zip_with(
+            F.split(text, DIGITS_PATTERN, -1), made, lambda b, m: F.concat(b, F.coalesce(m["s"], F.lit("")))
+        )
+        n = F.aggregate(made, F.lit(0), lambda total, m: total + m["n"])
+        return F.struct(F.array_join(pieces, "").alias("s"), n.alias("n"))
+
+    found = let(F.transform(F.regexp_extract_all(text, F.lit(DIGITS_PATTERN), 0), one), put)
+    return F.when(text.rlike("[0-9]"), found).otherwise(F.struct(text.alias("s"), F.lit(0).alias("n")))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", counted: str | None = None) -> DataFrame:
     """The documents with private values of ``text`` replaced, all columns and rows kept.
 
     ``counted`` names a column that is added: how many values of private form were found.
     A NULL text stays NULL, a text without private values stays as it is; whole texts are
     searched. Every row is worked on by itself, so repeated rows stay equal and an empty
-    table stays empty. Of values that overlap the leftmost counts. A date with slashes is
-    read as day/month/year, or month/day/year if that is no date.
+    table stays empty. Secrets, e-mail addresses and valid account numbers go first, what
+    is between them is searched for numbers and dates. Of values that overlap the leftmost
+    counts. Digits and capitals beside a valid card or account number don't hide it. A date
+    with slashes is read as day/month/year, or month/day/year if that is no date.
     """
     column = F.col(f"`{text}`")
-    # Two steps, so that values and what is between them are found once each.
+    # Several steps, so that values and what is between them are found once each.
     found = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.when(column.rlike(HINT), F.regexp_extract_all(column, F.lit(PATTERN), 0)).alias("values"),
+        F.when(column.rlike(LETTERS_HINT), F.regexp_extract_all(column, F.lit(LETTERS_PATTERN), 0)).alias("values"),
     )
     own, some = F.col("row").getField(text), F.size("values") > 0
-    pieces = found.select("row", "values", F.when(some, F.split(own, PATTERN, -1)).alias("between"))
+    made = found.select("row", "values", F.when(some, F.transform("values", lambda v: _lettered(v, key))).alias("made"))
+    parts = F.flatten(
+        F.zip_with(F.split(own, LETTERS_PATTERN, -1), "values", lambda b, v: F.array(b, F.coalesce(v, F.lit(""))))
+    )
+    # The numbers of the valid values, -1 before and their count behind them.
+    cuts = F.concat(
+        F.array(F.lit(-1)),
+        F.filter(F.sequence(F.lit(0), F.size("made") - 1), lambda i: F.get("made", i).isNotNull()),
+        F.array(F.size("made")),
+    )
+    parted = made.select("row", "made", F.when(some, parts).alias("parts"), F.when(some, cuts).alias("cuts"))
+
+    def left(i: Column) -> Column:
+        """What is between two valid values, those that aren't valid included."""
+        before, after = F.get("cuts", i), F.get("cuts", i + 1)
+        return F.array_join(F.slice("parts", 2 * before + 3, 2 * (after - before) - 1), "")
+
+    some_made = F.size("made") > 0
+    free = F.when(some_made, F.transform(F.sequence(F.lit(0), F.size("cuts") - 2), left)).otherwise(
+        F.array(own)
+    )
+    valid = F.when(some_made, F.filter("made", lambda m: m.isNotNull())).otherwise(F.array().cast("array<string>"))
+    searched = own.rlike(HINT)
+    pieces = parted.select(
+        "row", F.when(searched, valid).alias("valid"), F.when(searched, F.transform(free, lambda f: _digital(f, key))).alias("free")
+    )
     joined = F.array_join(
-        F.zip_with(
-            "between",
-            F.transform("values", lambda v: pseudonym(v, key)),
-            lambda b, v: F.concat(b, F.coalesce(v, F.lit(""))),
-        ),
+        F.zip_with("free", "valid", lambda b, v: F.concat(b["s"], F.coalesce(v, F.lit("")))),
         "",
     )
-    new = F.when(some, joined).otherwise(own)
+    new = F.when(F.col("free").isNotNull(), joined).otherwise(own)
     columns = [(new if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns]
     if counted:
-        columns.append(F.greatest(F.coalesce(F.size("values"), F.lit(0)), F.lit(0)).cast("long").alias(counted))
+        n = F.size("valid") + F.aggregate("free", F.lit(0), lambda total, f: total + f["n"])
+        columns.append(F.coalesce(n, F.lit(0)).cast("long").alias(counted))
     return pieces.select(*columns)

@@ -451,3 +451,29 @@ def test_added_tokens_get_their_ids(spark):
     got = {r.doc_id: r.ids for r in pack_documents(df, path, capacity=64).collect()}
     for i, text in enumerate(texts):
         assert got[i] == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_neighbours_do_not_hide_card_and_account_numbers(spark):
+    card, es, de = "4539 1488 0343 6467", "ES91 2100 0418 4502 0005 1332", "DE89370400440532013000"
+    amex = "3782 822463 10005"
+    cases = {
+        f"card {card} 12/27": [card], f"card {card} 1227 123 ok": [card], f"no 7 {card}, {card}-124": [card, card],
+        f"{card} {card} 99": [card, card], f"AB12 {card}": [card], f"1234 {amex} 2027-01-31": [amex, "2027-01-31"],
+        f"{es} REF": [es], "ES9121000418450200051332 AND": ["ES9121000418450200051332"], f"{es} {card} 12/27": [es, card],
+        f"IBAN {de} {es} 12": [de, es], f"ES91 2100 0418 4502 0005 1333 {card}": [card], f"XX12 ABCD {de} EUR": [de],
+        f"{card} 29.02.1984 and 123-45-6789": [card, "29.02.1984", "123-45-6789"],
+        "1234567890123 123-45-6789": ["123-45-6789"], f"a@b.org {card} 5 10.20.30.40": ["a@b.org", card, "10.20.30.40"],
+    }
+    kept = ["order 4539 1488 0343 6468 12/27", "ES91 2100 0418 4502 0005 1333 REF", "AB12 CDEF 3456 and more", "1 2 3 4 5 6 7 8 9"]
+    df = spark.createDataFrame(list(enumerate([*cases, *kept])), "doc_id long, text string")
+    got = {r.doc_id: r for r in pseudonymise(df, "k", counted="n").collect()}
+    for i, (text, values) in enumerate(cases.items()):
+        rest = text
+        for v in values:
+            assert v not in got[i].text, text
+            rest = rest.replace(v, "|", 1)
+        for piece in rest.split("|"):
+            assert piece in got[i].text, text
+        assert got[i].n >= len(values)
+    assert got[0].text.split()[1:5] == got[4].text.split()[1:5]
+    assert [got[len(cases) + i].text for i in range(len(kept))] == kept
