@@ -477,3 +477,15 @@ def test_neighbours_do_not_hide_card_and_account_numbers(spark):
         assert got[i].n >= len(values)
     assert got[0].text.split()[1:5] == got[4].text.split()[1:5]
     assert [got[len(cases) + i].text for i in range(len(kept))] == kept
+
+
+def test_urls_are_blocked_by_any_part(spark):
+    bad = ["https://a{}.org/news/2024/casino-bonus-{}", "https://b{}.org/viagra-offer-{}", "https://c{}.org/x?id={}&ref=spam",
+           "https://q.w{}.evil.t.e{}.org/"]
+    good = ["https://a{}.org/news/2024/weather-{}", "https://b{}.org/garden-{}", "https://c{}.org/x?id={}&ref=home", "https://q.w{}.fine.t.e{}.org/"]
+    urls = [(f.format(i, i), f in bad) for f in bad + good for i in range(40)]
+    seen = spark.createDataFrame(urls, "url string, blocked boolean")
+    new = [(k, f.format(900 + k, 900 + k)) for k, f in enumerate(bad + good)]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(new, "page_id long, url string"), seen).collect()}
+    assert [got[k].verdict for k in range(8)] == ["block"] * 4 + ["allow"] * 4
+    assert all(got[k].mined_rule for k in range(8))
