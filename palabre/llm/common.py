@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palabre.session import shared_dir
@@ -41,31 +41,54 @@ def ids_and_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     )
 
 
-def only_ids(docs: DataFrame, ids: DataFrame, most_bits: int = 1 << 25) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is in the stored, distinct ``ids``.
+class MaybeIn:
+    """Tells values that are surely not in a set from those that may be, by a bitmap."""
+
+    def __init__(self, shared, bits: int) -> None:
+        self._shared, self._bits = shared, bits
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        """For a worker: which of the 64-bit values may be in the set."""
+        at = values & (self._bits - 1)
+        return (self._shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+    def column(self, value: Column) -> Column:
+        """The same for a column."""
+
+        @F.pandas_udf("boolean")
+        def maybe(values: pd.Series) -> pd.Series:
+            return pd.Series(self(values.to_numpy(np.int64)))
+
+        return maybe(value)
 
-    A bitmap of hashed ids, of a fixed size at most, drops most other rows before the
-    join that decides. With more ids than it can tell apart it only drops fewer rows.
+
+def maybe_in(stored: DataFrame, value: Column | str, most_bits: int = 1 << 25, bits_each: int = 16) -> MaybeIn:
+    """A bitmap of the well-mixed 64-bit ``value`` of all rows, of a fixed size at most.
+
+    With more rows than it can tell apart it only holds fewer values off.
     """
-    spark = docs.sparkSession
-    bits = int(min(most_bits, 1 << max(12, (16 * ids.count()).bit_length())))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    spark = stored.sparkSession
+    bits = int(min(most_bits, 1 << max(12, (bits_each * stored.count()).bit_length())))
+    place = F.pmod(F.col(value) if isinstance(value, str) else value, F.lit(bits))
     words = (
-        ids.select(place.alias("p"))
+        stored.select(place.alias("p"))
         .groupBy(F.shiftright("p", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-        .toPandas()  # at most one row for 64 bits
+        .toArrow()  # at most one row for 64 bits
     )
     bitmap = np.zeros(bits // 64, dtype=np.int64)
-    bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(bitmap.view(np.uint64))
+    bitmap[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return MaybeIn(spark.sparkContext.broadcast(bitmap.view(np.uint64)), bits)
+
 
-    @F.pandas_udf("boolean")
-    def maybe(places: pd.Series) -> pd.Series:
-        at = places.to_numpy(np.int64)
-        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+def only_ids(docs: DataFrame, ids: DataFrame, most_bits: int = 1 << 25) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is in the stored, distinct ``ids``.
 
-    return docs.filter(maybe(place)).join(ids, "doc_id", "left_semi")
+    A bitmap of hashed ids drops most other rows before the join that decides.
+    """
+    mixed = F.xxhash64("doc_id")
+    likely = docs.filter(maybe_in(ids, mixed, most_bits).column(mixed))
+    return likely.join(ids, "doc_id", "left_semi")
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -13,13 +13,16 @@ from palabre.llm.common import bound_batches, read_table
 from palabre.llm.exact_dedup import exact_duplicates
 from palabre.llm.language_id import predict_language, train_language_id
 from palabre.llm.license_scan import scan_licenses
+from palabre.llm.merkle import document_manifest
 from palabre.llm.near_dedup import near_duplicates
 from palabre.llm.oracles import ORACLES
 from palabre.llm.packing import pack_documents
 from palabre.llm.pii import pseudonymise
 from palabre.llm.quality import judge_quality
+from palabre.llm.repeats import remove_repeats
 from palabre.llm.toxicity import score_toxicity, train_toxicity
 from palabre.llm.url_filter import filter_urls
+from palabre.llm.whitening import whiten_embeddings
 
 
 #: For the checked queries; a user keeps a key of their own secret.
@@ -97,6 +100,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
+    return remove_repeats(read_table(spark, sf_dir, "documents"), digests_only=True)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Vectors are short; larger batches make fewer and larger products.
+    bound_batches(spark, 10_000)
+    return whiten_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark, 10_000)
+    return document_manifest(read_table(spark, sf_dir, "documents"), _fold(3) == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_license_scan": op2_license_scan,
@@ -108,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_suffix_array_dedup": op11_suffix_array_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 __all__ = ["ORACLES", "PSEUDONYM_KEY", "QUERIES"]
