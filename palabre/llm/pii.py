@@ -36,13 +36,16 @@ _UNKNOWN = (
 # The forms in which private values are written, the first that fits counts.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 FORMS = {
-    "secret": r"\b(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,}",
-    "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})+",
+    "secret": r"(?<![A-Za-z0-9])(?i:token|secret|passwd|password|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{16,}+",
+    # Possessive throughout: a group that can give back recurses once for each label.
+    "email": r"[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+)++",
     "iban": f"{_KNOWN}|{_UNKNOWN}",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
+    # With a plus 7 to 15 digits in any groups; three groups with blanks only if no more stand beside them.
+    "phone": r"(?<![0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})"
+    r"|\+[1-9](?:[ .()-]{0,2}[0-9]){6,14}|(?<![0-9][ .-])[0-9]{3} [0-9]{3} [0-9]{4}(?! ?[0-9]))(?![0-9])",
 }
 #: A whole run of groups of digits, up to a group that another form begins with. Card numbers are looked for within.
 FORMS["card"] = (
@@ -60,7 +63,14 @@ BRANDS = (
     r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}"
     r"|35[0-9]{14,17}|6(?:011|[245][0-9]{2})[0-9]{12,15})$"
 )
-CARD_DIGITS = range(19, 12, -1)
+CARD_DIGITS = range(13, 20)
+# A group that a number of these brands may begin with.
+BRAND_START = r"^[ -]?(?:4[0-9]|5[1-5]|2[2-7]|3[0-9]|6[0-9])[0-9]{2}(?:[0-9]{9,15})?$"
+# How card numbers are grouped.
+UNBROKEN = "^[0-9]+$"
+GROUPED = r"^[0-9]{4}(?:([ -])[0-9]{4}(?:\1[0-9]{4}){2}(?:\1[0-9]{1,3})?|([ -])[0-9]{6}\2[0-9]{4,5})$"
+#: Groups for each card number found; a longer run of digits is a table of figures.
+MOST_GROUPS = 11
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -158,83 +168,121 @@ def _card(text: Column, key: str, back: bool) -> Column:
     return let(_digits(text), run)
 
 
-def _spans(
-    text: Column, fits: Callable[[Column], Column], key: str, back: bool, between: Callable[[Column], Column]
-) -> Column:
-    """Replaces the card numbers among groups of digits, as ``struct(s, n)`` with their number.
+def _card_sizes(groups: Column) -> Column:
+    """For each group of digits how many groups the longest card number that begins there has, or 0.
 
-    A card number begins and ends with a group and has digits that ``fits``: the leftmost
-    first, of those the longest. What is left between them goes through ``between``.
+    Card numbers here are of a brand, with a right check digit, unbroken or in usual groups.
     """
 
-    def first(rest: Column) -> Column:
-        forms = [rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])" for n in CARD_DIGITS]
-        # No span is longer than its digits and what is between them, and the character after it.
-        near = F.substr(rest, F.lit(1), F.lit(2 * CARD_DIGITS[0]))
-        spans = F.array(*[F.regexp_extract(near, form, 0) for form in forms])
-        return F.get(F.filter(spans, lambda x: (x != "") & fits(_digits(x))), F.lit(0))
-
-    def step(state: Column, _: Column) -> Column:
-        def parted(gap: Column) -> Column:
-            rest = F.substr(state["r"], F.length(gap) + 1)
-
-            def put(span: Column) -> Column:
-                group = F.regexp_extract(rest, "^[0-9]+", 0)
-                found = let(
-                    between(F.concat(state["p"], gap)),
-                    lambda old: F.struct(
-                        F.concat(state["s"], old["s"], _card(span, key, back)).alias("s"),
-                        F.lit("").alias("p"),
-                        F.substr(rest, F.length(span) + 1).alias("r"),
-                        (state["n"] + old["n"] + 1).alias("n"),
-                    ),
-                )
-                passed = F.struct(
-                    state["s"].alias("s"),
-                    F.concat(state["p"], gap, group).alias("p"),
-                    F.substr(rest, F.length(group) + 1).alias("r"),
-                    state["n"].alias("n"),
-                )
-                return F.when(span.isNotNull(), found).otherwise(passed)
-
-            return let(first(rest), put)
-
-        return let(F.regexp_extract(state["r"], "^[ -]?", 0), parted)
-
-    def end(state: Column) -> Column:
-        return let(
-            between(state["p"]),
-            lambda old: F.struct(F.concat(state["s"], old["s"]).alias("s"), (state["n"] + old["n"]).alias("n")),
+    def fits(text: Column) -> Column:
+        form = text.rlike(UNBROKEN) | text.rlike(GROUPED)
+        return form & let(_digits(text), lambda d: d.rlike(BRANDS) & _valid_card(d))
+
+    def size(i: Column) -> Column:
+        def is_card(k: Column) -> Column:
+            return (i + k <= F.size(groups)) & fits(F.ltrim(F.array_join(F.slice(groups, i + 1, k), ""), F.lit(" -")))
+
+        return F.coalesce(F.get(F.filter(F.array(*map(F.lit, (5, 4, 3, 1))), is_card), F.lit(0)), F.lit(0))
+
+    return F.transform(groups, lambda g, i: F.when(g.rlike(BRAND_START), size(i)).otherwise(F.lit(0)))
+
+
+#: Groups that are walked through at once.
+_BLOCK = 64
+
+
+def _leftmost(sizes: Column) -> Column:
+    """The sizes of the spans that overlap none before them, from left to right; 0 for others.
+
+    A first walk only notes where it enters each block, a second one is made in every block
+    from there, so neither carries along what it has found.
+    """
+    last = F.size(sizes) - 1
+    blocks = F.sequence(F.lit(0), F.floor(last / _BLOCK).cast("int"))
+
+    def places(block: Column) -> Column:
+        return F.sequence(block * _BLOCK, F.least(block * _BLOCK + (_BLOCK - 1), last))
+
+    def begins(free: Column, i: Column) -> Column:
+        return (i >= free) & (F.get(sizes, i) > 0)
+
+    def step(free: Column, i: Column) -> Column:
+        return F.when(begins(free, i), i + F.get(sizes, i)).otherwise(free)
+
+    def enter(state: Column, block: Column) -> Column:
+        return F.struct(
+            F.aggregate(places(block), state["free"], step).alias("free"),
+            F.concat(state["entries"], F.array(state["free"])).alias("entries"),
         )
 
-    start = F.struct(F.lit("").alias("s"), F.lit("").alias("p"), text.alias("r"), F.lit(0).alias("n"))
-    groups = F.sequence(F.lit(1), F.greatest(F.size(F.split(text, "[ -]")), F.lit(1)))
-    return F.aggregate(groups, start, step, end)
+    def walk(state: Column, i: Column) -> Column:
+        own = F.when(begins(state["free"], i), F.get(sizes, i)).otherwise(F.lit(0))
+        return F.struct(step(state["free"], i).alias("free"), F.concat(state["own"], F.array(own)).alias("own"))
+
+    nothing = F.array().cast("array<int>")
+    entered = F.aggregate(blocks, F.struct(F.lit(0).alias("free"), nothing.alias("entries")), enter, lambda s: s["entries"])
+
+    def within(entries: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                blocks,
+                lambda b: F.aggregate(
+                    places(b), F.struct(F.get(entries, b).alias("free"), nothing.alias("own")), walk, lambda s: s["own"]
+                ),
+            )
+        )
+
+    return let(entered, within)
+
+
+def _among(groups: Column, key: str, back: bool) -> Column:
+    """The card numbers among groups of digits replaced, as ``struct(s, n)`` with their number.
+
+    One that overlaps an earlier one is left. Only unbroken ones count if there are many
+    more groups than card numbers, which is a table of figures. Each group is looked at with
+    its next ones alone, so that very long tables take time in proportion.
+    """
+
+    def put(sizes: Column) -> Column:
+        def one(group: Column, i: Column) -> Column:
+            span = F.array_join(F.slice(groups, i + 1, F.get(sizes, i)), "")
+            gap = F.regexp_extract(group, "^[ -]?", 0)
+            card = F.concat(gap, _card(F.substr(span, F.length(gap) + 1), key, back))
+            covered = [F.coalesce(F.get(sizes, i - j) > j, F.lit(False)) for j in range(1, 5)]
+            within = covered[0] | covered[1] | covered[2] | covered[3]
+            return F.when(F.get(sizes, i) > 0, card).when(within, "").otherwise(group)
+
+        return F.struct(
+            F.array_join(F.transform(groups, one), "").alias("s"),
+            F.size(F.filter(sizes, lambda n: n > 0)).alias("n"),
+        )
+
+    def no_table(sizes: Column) -> Column:
+        many = F.size(sizes) > MOST_GROUPS * F.size(F.filter(sizes, lambda n: n > 0))
+        return F.when(many, F.transform(sizes, lambda n: F.when(n == 1, n).otherwise(F.lit(0)))).otherwise(sizes)
+
+    return let(let(let(_card_sizes(groups), _leftmost), no_table), put)
 
 
 def _cards(text: Column, key: str, back: bool) -> Column:
     """The card numbers of a run of digits, as ``struct(s, n)``.
 
-    That is the run itself if it is one. Otherwise spans that a common brand could have
-    go first, so that digits before or after a card number don't take a part of it.
+    That is the run itself if it is one: unbroken, in usual groups, or with the first digits
+    of a brand. Otherwise those among its groups.
     """
 
-    def others(rest: Column) -> Column:
-        return _spans(rest, _valid_card, key, back, lambda x: F.struct(x.alias("s"), F.lit(0).alias("n")))
-
     def run(d: Column) -> Column:
-        whole = F.length(d).between(CARD_DIGITS[-1], CARD_DIGITS[0]) & _valid_card(d)
-        return F.when(whole, F.struct(_card(text, key, back).alias("s"), F.lit(1).alias("n"))).otherwise(
-            _spans(text, lambda x: x.rlike(BRANDS) & _valid_card(x), key, back, others)
-        )
+        form = text.rlike(UNBROKEN) | text.rlike(GROUPED) | d.rlike(BRANDS) | F.lit(back)
+        whole = F.length(d).between(CARD_DIGITS[0], CARD_DIGITS[-1]) & form & _valid_card(d)
+        among = let(F.regexp_extract_all(text, F.lit("[ -]?[0-9]+"), 0), lambda g: _among(g, key, back))
+        return F.when(whole, F.struct(_card(text, key, back).alias("s"), F.lit(1).alias("n"))).otherwise(among)
 
     return let(_digits(text), run)
 
 
 def _phone(text: Column, key: str, back: bool) -> Column:
-    """All digits but those of the country code."""
-    code = F.regexp_extract(text, r"^(\+[0-9]{1,3}(?=[ .(-]))?", 0)
-    rest = F.substr(text, F.length(code) + 1)
+    """All digits but those of the country code (the first two where nothing ends it)."""
+    code = F.regexp_extract(text, r"^(\+[0-9]{1,3}(?=[ .(-])|\+[0-9]{2})?", 0)
     return let(code, lambda c: F.concat(c, let(F.substr(text, F.length(c) + 1), lambda r: _refill(r, permuted_digits(_digits(r), key, "phone", back)))))
 
 
@@ -343,7 +391,7 @@ def _email(text: Column, key: str, back: bool) -> Column:
 
 
 def _secret(text: Column, key: str, back: bool) -> Column:
-    head = F.regexp_extract(text, r"^[A-Za-z_-]+\s{0,3}[=:]\s{0,3}[\"']?", 0)
+    head = F.regexp_extract(text, r"^[A-Za-z_-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?", 0)
 
     def run(h: Column) -> Column:
         value = F.substr(text, F.length(h) + 1)
