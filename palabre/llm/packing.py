@@ -21,11 +21,12 @@ from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from palabre.llm.common import ids_and_texts, stage
 
@@ -37,6 +38,11 @@ NUMBERED = 100_000
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: Texts with so many blanks in a row are encoded by the tokenizers library itself.
+LONG_BLANKS = 20_000
+_BLANKS = re.compile(r"\s{%d}" % LONG_BLANKS)
+
+
 @dataclass(frozen=True)
 class Filled:
     """``times`` sequences, each with ``uses`` pieces of each of the lengths."""
@@ -183,16 +189,18 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
     encoding = _encoding(path)
+    whole = Tokenizer.from_file(path)
     added = {t["content"]: t["id"] for t in model["added_tokens"]}
     if any(t.get(flag) for t in model["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
         raise ValueError(f"{path} has added tokens that take in or need what is beside them")
-    if not added:
-        return encoding.encode_ordinary
-    parted = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})")
+    parted = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
 
     def encode(text: str) -> list[int]:
+        # tiktoken's pattern engine needs stack for each blank of a run: it panics on very long ones.
+        if len(text) > LONG_BLANKS and _BLANKS.search(text):
+            return whole.encode(text, add_special_tokens=False).ids
         ids: list[int] = []
-        for i, part in enumerate(parted.split(text)):
+        for i, part in enumerate(parted.split(text) if parted else [text]):
             if i % 2:
                 ids.append(added[part])
             elif part:
@@ -215,25 +223,32 @@ def token_pieces(
     With ``digests_only`` the CRC-32 of the little-endian 32-bit ids takes their place.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer if os.path.exists(tokenizer) else SparkFiles.get(os.path.basename(tokenizer))
         encode = encoder(path)
+        shown = pa.int64() if digests_only else pa.list_(pa.int32())
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.array([*encode(text), end_id], dtype="<u4")
+            rows, row_of = [], []
+            for row, text in enumerate(batch.column("text")):
+                ids = np.array([*encode(text.as_py()), end_id], dtype="<u4")
                 first = (len(ids) - 1) % capacity + 1
                 starts = [0, *range(first, len(ids), capacity)]
                 for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
                     part = ids[start:end]
-                    shown = zlib.crc32(part.tobytes()) if digests_only else part.astype(np.int32)
-                    rows.append((doc_id, piece, start, end - start, shown))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", name])
-            yield out.astype({"doc_id": batch["doc_id"].dtype})
+                    rows.append((piece, start, end - start, zlib.crc32(part.tobytes()) if digests_only else part))
+                    row_of.append(row)
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int32(), pa.int64(), pa.int64(), shown)
+            # Arrow keeps ids whole beside a missing one; pandas would make them floats.
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(row_of, pa.int64())),
+                 *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
+                names=["doc_id", "piece", "start", "length", name],
+            )
 
     name, kind = ("ids_crc32", "long") if digests_only else ("ids", "array<int>")
     schema = f"doc_id long, piece int, start long, length long, {name} {kind}"
-    return ids_and_texts(docs).mapInPandas(run, schema)
+    return ids_and_texts(docs).mapInArrow(run, schema)
 
 
 def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, numbered: int = NUMBERED) -> DataFrame:
@@ -266,18 +281,20 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, numbered: int
     columns = pieces.columns
     ranked = ranked.select(*columns, (F.col("first") + F.col("row") - 1).alias("number"))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = places["length"] * (1 << 48) + places["first"]
         for batch in batches:
-            number, length = batch["number"].to_numpy(), batch["length"].to_numpy()
+            number, length = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("number", "length"))
             at = np.searchsorted(keys, length * (1 << 48) + number, side="right") - 1
             turn, which = np.divmod(number - places["first"][at], places["times"][at])
-            yield batch[columns].assign(
-                sequence_id=places["base"][at] + which, offset=places["offset"][at] + turn * length
-            )
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in columns), pa.array(places["base"][at] + which),
+                 pa.array(places["offset"][at] + turn * length)],
+                names=[*columns, "sequence_id", "offset"],
+            )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return ranked.mapInPandas(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
 def pack_documents(
