@@ -4,7 +4,7 @@ For each prefix of a byte string exactly one last token is valid, so an encoding
 chain of last tokens. A token may end a prefix if it starts it, or if it is compatible
 with the last token of what stands before it: merging the bytes of both must give just
 these two tokens. The table of last tokens never changes when bytes are appended, and
-after an edit only the entries behind it are made anew.
+after an edit only entries near it are made anew.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -48,6 +48,7 @@ class Vocabulary:
         self.usable = {t: r for t, r in ranks.items() if self.halves(r) != (r, r)}
         #: The length of the longest of them that ends with these three bytes.
         self.longest: dict[bytes, int] = {}
+        self.most_bytes = max(map(len, self.usable), default=1)
         for token in self.usable:
             if len(token) > 2:
                 self.longest[token[-3:]] = max(len(token), self.longest.get(token[-3:], 0))
@@ -163,22 +164,46 @@ class PrefixTable:
         self.data = bytearray()
         #: At i - 1 the last token of the prefix of i bytes.
         self.last: list[int] = []
+        #: How many entries were made.
+        self.made = 0
         self.append(data)
 
     def append(self, more: bytes) -> None:
         """Add bytes; the table so far stays as it is."""
-        last, ending = self.last, self.vocabulary.ending
         start = len(self.data)
         self.data += more
-        data = bytes(self.data)
-        for end in range(start + 1, len(data) + 1):
-            last.append(ending(data, end, lambda begin: last[begin - 1]))
+        for _ in self._extend(start):
+            pass
+
+    def _extend(self, start: int) -> Iterator[int]:
+        """Sets the last token of each prefix longer than ``start`` bytes, one at a time."""
+        last, ending = self.last, self.vocabulary.ending
+        # No token reaches further back than the longest one is long.
+        base = max(0, start - self.vocabulary.most_bytes - 1)
+        data = bytes(self.data[base:])
+        for end in range(start + 1, len(self.data) + 1):
+            self.made += 1
+            last.append(ending(data, end - base, lambda begin: last[begin + base - 1]))
+            yield end
 
     def replace(self, begin: int, end: int, new: bytes) -> None:
-        """Put ``new`` in the place of bytes ``begin`` to ``end``; what is before stays."""
-        rest = new + bytes(self.data[end:])
-        del self.data[begin:], self.last[begin:]
-        self.append(rest)
+        """Put ``new`` in the place of bytes ``begin`` to ``end``; only entries near them are made anew.
+
+        An entry depends on the bytes and entries of one longest token before it. Behind so
+        many new entries that equal the old ones of the same bytes, all others do.
+        """
+        begin = min(begin, len(self.data))
+        end = max(begin, min(end, len(self.data)))
+        old = self.last[end:]
+        self.data[begin:end] = new
+        del self.last[begin:]
+        edited, same = begin + len(new), 0
+        for n in self._extend(begin):
+            at = n - edited - 1
+            same = same + 1 if at >= 0 and self.last[-1] == old[at] else 0
+            if same > self.vocabulary.most_bytes:
+                self.last += old[at + 1 :]
+                return
 
     def ids(self, end: int | None = None) -> list[int]:
         """The encoding of the first ``end`` bytes (default: all)."""
@@ -246,14 +271,14 @@ def encode_documents(
     independent: repeated ones give repeated results, and further columns are not read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = rank_file if os.path.exists(rank_file) else SparkFiles.get(os.path.basename(rank_file))
         coder = encoder(path, pattern)
         decimal = [str(i) for i in range(len(coder.vocabulary.tokens))]
         for batch in batches:
             counts, left, right = [], [], []
-            for text in batch["text"]:
-                ids = coder.encode(text)
+            for text in batch.column("text"):
+                ids = coder.encode(text.as_py())
                 counts.append(len(ids))
                 decoded = coder.decode(ids)
                 if digests_only:
@@ -263,11 +288,14 @@ def encode_documents(
                 else:
                     left.append(ids)
                     right.append(decoded)
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "n_tokens": counts, names[0]: left, names[1]: right}
+            shown = (pa.string(), pa.string()) if digests_only else (pa.list_(pa.int32()), pa.binary())
+            # Arrow keeps ids whole beside a missing one; pandas would make them floats.
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(left, shown[0]), pa.array(right, shown[1])],
+                names=["doc_id", "n_tokens", *names],
             )
 
     names = ("ids_sha256", "decoded_sha256") if digests_only else ("ids", "decoded")
     kinds = ("string", "string") if digests_only else ("array<int>", "binary")
     schema = f"doc_id long, n_tokens long, {names[0]} {kinds[0]}, {names[1]} {kinds[1]}"
-    return ids_and_texts(docs).mapInPandas(run, schema)
+    return ids_and_texts(docs).mapInArrow(run, schema)
