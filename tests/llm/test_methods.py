@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from palabre.llm.bpe import Encoder, PrefixTable, Vocabulary
+from palabre.llm.bpe import Encoder, PrefixTable, Vocabulary, encode_documents, encoder
 from palabre.llm.common import bound_batches
 from palabre.llm.components import connected_components
 from palabre.llm.language_id import subword_counts
@@ -489,3 +489,93 @@ def test_urls_are_blocked_by_any_part(spark):
     got = {r.page_id: r for r in filter_urls(spark.createDataFrame(new, "page_id long, url string"), seen).collect()}
     assert [got[k].verdict for k in range(8)] == ["block"] * 4 + ["allow"] * 4
     assert all(got[k].mined_rule for k in range(8))
+
+
+def test_tables_of_figures_are_left_alone(spark):
+    rnd = random.Random(4)
+    tables = [
+        "temps 12 14 15 17 18 21 22 24 19 16 14 13 12 11 10 9 12 14 15 17 18 21 22 24 19 16",
+        *[" ".join(str(rnd.randrange(10 ** (k - 1), 10**k)) for _ in range(8000)) for k in (2, 3, 4)],
+        " ".join(str(rnd.randrange(1, 10**6)) for _ in range(8000)),
+        "-".join(str(rnd.randrange(10, 100)) for _ in range(2000)),
+    ]
+    card = "4539 1488 0343 6467"
+    cards = [f"{card} {card} {card} 7", f"pay 4539148803436467 and 12 34", "4539-1488-0343-6467", "378282246310005"]
+    df = spark.createDataFrame(list(enumerate([*tables, *cards])), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonymise(df, "k").collect()}
+    assert [got[i] for i in range(len(tables))] == tables
+    assert all(got[len(tables) + i] != c for i, c in enumerate(cards))
+
+
+def test_many_labels_and_long_runs_pass(spark):
+    """Texts that once recursed for each label, and long runs of one kind of character."""
+    texts = ["x@" + "b." * n + "com" for n in (1, 1000, 5000, 100_000)]
+    runs = [c * 100_000 for c in (" ", "a", ".", "7", "A1 ", "a@", "4 ", "1-", "+1 ", "token=")]
+    df = spark.createDataFrame(list(enumerate(texts + runs)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonymise(df, "k").collect()}
+    assert all(got[i].startswith("user-") and got[i].endswith("@mail.invalid") for i in range(len(texts)))
+    assert len(got) == len(texts) + len(runs)
+
+
+def test_cards_among_many_groups(spark):
+    """Time is in proportion to the number of groups."""
+    card = "4539 1488 0343 6467"
+    texts = [f"{card} " * 5000, f"{card} 4111 1111 1111 1111 99 4539148803436467-5500-0000-0000-0004"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonymise(df, "k").collect()}
+    one = got[0][: len(card)]
+    assert one != card and got[0] == f"{one} " * 5000
+    assert got[1].startswith(one) and re.sub(r"\d", "9", got[1]) == re.sub(r"\d", "9", texts[1])
+    assert not any(c in got[1] for c in ("4111 1111", "4539148803436467", "5500-0000")) and " 99 " in got[1]
+
+
+def test_phones_and_secrets_in_other_forms(spark):
+    value = "abcDEF123456ghijKLMN7890"
+    phones = ["+33 6 12 34 56 78", "+34 612 345 678", "+49 30 1234567", "555 123 4567", "+4915112345678", "+1 (212) 555-0123"]
+    secrets = [f'{{"api_key": "{value}"}}', f"aws_secret_access_key = {value}", f"my_token: '{value}'"]
+    df = spark.createDataFrame(list(enumerate([f"call {p} now" for p in phones] + secrets)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pseudonymise(df, "k").collect()}
+    for i, phone in enumerate(phones):
+        assert phone not in got[i] and re.sub(r"\d", "9", got[i]) == re.sub(r"\d", "9", f"call {phone} now")
+        assert got[i][5:8] == phone[:3] or phone[0] != "+"
+    for i in range(len(phones), len(phones) + len(secrets)):
+        assert value not in got[i]
+
+
+def test_ids_stay_whole_beside_missing_ones(spark):
+    bound_batches(spark)
+    big = 9007199254740993
+    df = spark.createDataFrame([(big, "a b"), (None, "c"), (None, None)], "doc_id long, text string").coalesce(1)
+    packed = pack_documents(df, public_tokenizers.path("byte_bpe_50k.json"), capacity=16).collect()
+    coded = encode_documents(df, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).collect()
+    for rows in (packed, coded):
+        assert sorted((r.doc_id for r in rows), key=str) == [big, None, None]
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "a", ".", "word "])
+def test_long_runs_are_packed_like_the_tokenizer_does(spark, unit):
+    bound_batches(spark)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = unit * (2_000_000 // len(unit)) + "x"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pieces = sorted(pack_documents(df, path).collect(), key=lambda r: r.piece)
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert [i for r in pieces for i in r.ids] == [*want, 0]
+
+
+def test_an_edit_makes_few_entries_anew():
+    vocabulary = encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).vocabulary
+    rnd = random.Random(8)
+    data = " ".join(rnd.choice(["the", "running", "über", "2024", "don't"]) for _ in range(4000)).encode()
+    table = PrefixTable(vocabulary, data)
+    for begin, end, new in ((9000, 9003, b"xyz!"), (0, 0, b"In "), (5, 60, b""), (len(data) - 2, len(data) - 2, b" end"), (100, 100, "é日".encode() * 30)):
+        before = table.made
+        table.replace(begin, end, new)
+        data = data[:begin] + new + data[end:]
+        assert bytes(table.data) == data and len(table.last) == len(data)
+        assert table.made - before <= len(new) + 4 * vocabulary.most_bytes + 8
+        whole = PrefixTable(vocabulary, data)
+        assert table.last == whole.last
+    before = table.made
+    table.append(b" and more")
+    assert table.made - before == 9 and table.ids() == PrefixTable(vocabulary, data + b" and more").ids()
