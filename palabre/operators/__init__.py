@@ -1,6 +1,11 @@
 """DataFrame operators: one module per kind of work."""
 
-from palabre.operators.accounts import login_matches, register_unique, users_if_authenticated
+from palabre.operators.accounts import (
+    judge_logins,
+    login_matches,
+    register_unique,
+    users_if_authenticated,
+)
 from palabre.operators.classify import (
     classify_messages,
     classify_with_model,
@@ -18,6 +23,7 @@ from palabre.operators.messages import (
 )
 from palabre.operators.replies import (
     json_reply,
+    reply_all_users,
     reply_messages,
     reply_users,
     table_as_json,
@@ -40,6 +46,7 @@ __all__ = [
     "filter_min_price",
     "ingest_json",
     "json_reply",
+    "judge_logins",
     "left_join",
     "login_matches",
     "messages_left_join",
@@ -48,6 +55,7 @@ __all__ = [
     "pandas_scorer",
     "preview_table",
     "register_unique",
+    "reply_all_users",
     "reply_messages",
     "reply_users",
     "route",

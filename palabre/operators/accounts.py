@@ -21,6 +21,19 @@ def login_matches(users: DataFrame, credentials: DataFrame) -> DataFrame:
     return users.join(tried, USER_LOGIN.names, "left_semi")
 
 
+def judge_logins(requests: DataFrame, users: DataFrame, key: str = "key") -> DataFrame:
+    """``key, right``: for each requester whether any of its credentials is right.
+
+    ``requests`` has the key, ``email`` and ``password``; a NULL in either is wrong, a NULL key
+    is a requester like any other. Equal requests are merged before the shuffle.
+    """
+    tried = requests.select(F.col(key).alias("key"), *USER_LOGIN.names).distinct()
+    pairs = tried.select(*USER_LOGIN.names).dropna().distinct()
+    known = pairs.join(users.select(*USER_LOGIN.names), USER_LOGIN.names, "left_semi")
+    judged = tried.join(known.withColumn("_right", F.lit(True)), USER_LOGIN.names, "left")
+    return judged.groupBy("key").agg(F.coalesce(F.bool_or("_right"), F.lit(False)).alias("right"))
+
+
 def visible_columns(users: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     """The columns shown to a client: all but the password unless named."""
     return list(columns) if columns else [c for c in users.columns if c != PASSWORD]

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palabre.functions.values import bucket_of
 from palabre.operators.accounts import login_matches, visible_columns
 from palabre.operators.messages import status_counts
 from palabre.schemas import EMPTY_REPLY, MESSAGE_WITH_STATUS, USER_NOT_FOUND
+from palabre.session import store
 
 MAX_ROWS = 10_000
 MAX_BYTES = 900_000
@@ -21,16 +23,10 @@ def _one_message(rows: DataFrame, key: str | None, value: str) -> DataFrame:
     return one.select(F.lit(key).cast("string").alias("key"), F.lit(value).alias("value"))
 
 
-def _size(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
-
-
 def json_reply(
     rows: DataFrame,
     copies: str | None = None,
     columns: Sequence[str] | None = None,
-    total: Column | None = None,
-    is_empty: Column | None = None,
     encoding: str = "object",
     request_key: str | None = None,
     max_rows: int = MAX_ROWS,
@@ -48,25 +44,25 @@ def json_reply(
     Equal records are counted before the shuffle and their copies dealt out, by a digest
     of the record and the copy's number, to buckets of about ``max_rows``; each bucket is
     numbered and cut on its own. ``copies`` names a column that already holds counts.
-    ``total`` is an upper bound for the number of records and ``is_empty`` tells that there
-    are none, for rows that are dear to make twice. The cut depends on the data only.
+    Counted records and cut messages are stored in the shared folder on the way, so ``rows``
+    are made once, when this is called. The cut depends on the data only.
     """
     if encoding not in ("object", "string"):
         raise ValueError(f"encoding must be 'object' or 'string', not {encoding!r}")
     shown = list(columns) if columns else [c for c in rows.columns if c != copies]
     count = F.lit(1).cast("long") if copies is None else F.col(copies).cast("long")
     record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in shown]))
-    records = (
+    equal = (
         rows.select(record.alias("record"), count.alias("copies"))
         .groupBy("record")
         .agg(F.sum("copies").alias("copies"))
     )
-    if total is None:
-        total = rows.agg(F.coalesce(F.sum(count), F.lit(0).cast("long"))).scalar()
-        is_empty = total == 0
-    elif is_empty is None:
-        is_empty = ~rows.exists()
-    buckets = F.greatest(F.lit(1).cast("long"), F.ceil(total / F.lit(max_rows)))
+    records = store(equal, "records")
+    total = records.agg(F.sum("copies")).first()[0] or 0
+    if not total:
+        nothing = _one_message(rows, request_key, empty or "")
+        return nothing if empty is not None else nothing.limit(0)
+    buckets = F.lit(-(-total // max_rows))
 
     # A record with more copies than fit one message goes to several buckets.
     last_piece = F.expr(f"(copies - 1) div {max_rows}")
@@ -112,24 +108,15 @@ def json_reply(
     )
     texts = F.transform("rows", lambda item: item["element"])
     value = F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
-    parts = cut.select("bucket", "row_cut", "byte_cut").distinct().agg(F.count(F.lit(1))).scalar()
-    request = F.lit(request_key).cast("string")
     place = F.concat_ws("-", "bucket", "row_cut", "byte_cut")
-    reply = messages.select(
-        F.when(parts == 1, request).otherwise(F.concat_ws("/", request, place)).alias("key"),
-        value.alias("value"),
-    )
-    closing = rows.sparkSession.range(0, 1, 1, 1).filter(parts > 1)
-    reply = reply.unionByName(
-        closing.select(
-            F.concat_ws("/", request, F.lit("parts")).alias("key"),
-            F.to_json(F.struct(parts.alias("parts"))).alias("value"),
-        )
-    )
-    if empty is None:
-        return reply
-    nothing = _one_message(rows, request_key, empty).filter(is_empty)
-    return reply.unionByName(nothing)
+    stored = store(messages.select(place.alias("place"), value.alias("value")), "messages")
+    parts = stored.count()
+    request = F.lit(request_key).cast("string")
+    if parts == 1:
+        return stored.select(request.alias("key"), "value")
+    reply = stored.select(F.concat_ws("/", request, "place").alias("key"), "value")
+    closing = "parts" if request_key is None else f"{request_key}/parts"
+    return reply.unionByName(_one_message(rows, closing, json.dumps({"parts": parts}, separators=(",", ":"))))
 
 
 def reply_messages(
@@ -146,8 +133,6 @@ def reply_messages(
         status_counts(messages, metadata),
         copies="copies",
         columns=columns,
-        total=_size(messages) + _size(metadata),
-        is_empty=~messages.exists(),
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,
@@ -163,18 +148,26 @@ def reply_users(
     max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
     """All users as JSON messages if any credential is right, else an error object."""
-    right: Column = login_matches(users, credentials).exists()
-    rows = users.filter(right)
-    reply = json_reply(
-        rows,
+    if login_matches(users, credentials).isEmpty():
+        return _one_message(users, request_key, USER_NOT_FOUND)
+    return reply_all_users(users, columns, request_key, max_rows, max_bytes)
+
+
+def reply_all_users(
+    users: DataFrame,
+    columns: Sequence[str] | None = None,
+    request_key: str | None = None,
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
+) -> DataFrame:
+    """All users as JSON messages, for requesters that are known to be right."""
+    return json_reply(
+        users,
         columns=visible_columns(users, columns),
-        total=_size(users),
         request_key=request_key,
         max_rows=max_rows,
         max_bytes=max_bytes,
-        empty=None,
     )
-    return reply.unionByName(_one_message(users, request_key, USER_NOT_FOUND).filter(~right))
 
 
 def table_as_json(

@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from palabre.sources.manifests import delete_folder
+
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
 def build_session(app_name: str = "palabre", hive: bool = False, **conf: str) -> SparkSession:
@@ -41,4 +48,27 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="palabre-")
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/palabre/{purpose}-{uuid.uuid4().hex}"
+    place = _scratch.get() or f"{root.rstrip('/')}/palabre"
+    return f"{place}/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[None]:
+    """Within, ``shared_dir`` gives paths in a folder that is deleted at the end."""
+    path = shared_dir(spark, purpose)
+    token = _scratch.set(path)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        delete_folder(spark, path)
+
+
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame, written to the shared folder and read back: made once, however often it is used.
+
+    It survives lost executors, and its size is known when joins are planned.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from palabre.functions.values import date_parts
 from palabre.schemas import QUARANTINE
-from palabre.session import shared_dir
+from palabre.sources.manifests import Manifest, delete_folder
 
 #: Name the micro-batch that wrote a row: the run it belongs to and its number in it.
 RUN_COLUMN = "_batch_run"
@@ -53,9 +54,37 @@ def ensure_table(
     spark.sql(" ".join(ddl))
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _snapshot(spark: SparkSession, table: str) -> Manifest:
+    """What of the table's batches is hidden; its folder's name keeps it out of the table's own files."""
+    return Manifest(spark, f"{table_location(spark, table)}/_snapshot")
+
+
+#: Above every batch number: hides all of a run.
+_ALL = (1 << 63) - 1
+
+
+def visible_rows(spark: SparkSession, table: str) -> DataFrame:
+    """All columns of the table's valid rows: those that no snapshot hides.
+
+    A snapshot names runs and the batch below which they are hidden, because their rows
+    are in another partition or not yet all there. It is replaced in one step.
+    """
+    df = spark.read.table(table)
+    if RUN_COLUMN not in df.columns:
+        return df
+    for run, below in _snapshot(spark, table).read()[1].items():
+        df = df.filter(~((F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) < below)))
+    return df
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     """The table's own columns; the two that only serve replay are left out."""
-    df = spark.read.table(table)
+    df = visible_rows(spark, table)
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in BATCH_PARTITIONS])
 
 
@@ -127,6 +156,10 @@ def write_batch(
     brought together first, in tasks sized by adaptive execution, so that not
     every task writes a file per bucket.
     """
+    _insert(df, table, batch_id, cluster_by, run, "OVERWRITE")
+
+
+def _insert(df: DataFrame, table: str, batch_id: int, cluster_by: str | None, run: str, how: str) -> None:
     spark = df.sparkSession
     columns = spark.read.table(table).columns
     dynamic = columns[columns.index(BATCH_COLUMN) + 1 :]
@@ -135,35 +168,69 @@ def write_batch(
         rows = rows.repartition(cluster_by)
     owned = [f"`{RUN_COLUMN}` = '{run}'", f"`{BATCH_COLUMN}` = {int(batch_id)}"]
     partition = ", ".join([*owned, *[f"`{c}`" for c in dynamic]])
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}",
-        rows=rows,
-    )
+    spark.sql(f"INSERT {how} TABLE {table} PARTITION ({partition}) SELECT * FROM {{rows}}", rows=rows)
 
 
-def compact_batches(spark: SparkSession, table: str, run: str, before: int) -> None:
-    """Make the batches of a run below ``before`` one partition, that of the last of them.
+def compaction(
+    spark: SparkSession, table: str, run: str, before: int, cluster_by: str | None = None, drop: bool = True
+) -> Iterator[str]:
+    """``compact_batches`` as its steps, each done when its name comes.
 
-    They must be closed: the run's query has gone on and runs none of them again. Their
-    rows are copied to the shared folder first. If it breaks off after that, the copy
-    (which the error names) has the rows that are missing.
+    Whatever step it breaks off after, readers see each row once; the next compaction drops
+    what this one left behind.
     """
     spark.catalog.refreshTable(table)
-    df = spark.read.table(table)
-    old = df.filter((F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) < before))
-    batches = [r[0] for r in old.select(BATCH_COLUMN).distinct().orderBy(BATCH_COLUMN).collect()]
-    if len(batches) < 2:
+    snapshot = _snapshot(spark, table)
+    version, hidden = snapshot.read()
+    made = f"{run}.compacted."
+    family = (F.col(RUN_COLUMN) == run) | F.startswith(RUN_COLUMN, F.lit(made))
+    whole = spark.read.table(table)
+    parts = whole.filter(family).select(RUN_COLUMN, BATCH_COLUMN).distinct().collect()  # a row for each partition
+    gone = [(r, b) for r, b in parts if b < hidden.get(r, -1)]
+    for name, batch in gone:
+        _drop_batch(spark, table, name, batch)
+    yield "leftovers dropped"
+    closed = sorted((b, r) for r, b in parts if b < before and (r, b) not in set(map(tuple, gone)))
+    if len(closed) < 2:
         return
-    path = shared_dir(spark, "compacted")
-    old.write.parquet(path)
-    copied = spark.read.schema(old.schema).parquet(path)
-    try:
-        write_batch(copied, table, batches[-1], run=run)
-        for batch in batches[:-1]:
-            owned = f"`{RUN_COLUMN}` = '{run}', `{BATCH_COLUMN}` = {int(batch)}"
-            write_batch(copied.limit(0), table, batch, run=run)
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({owned})")
-    except Exception as error:
-        error.add_note(f"the rows of {table} that are being compacted are in {path}")
-        raise
+    # Runs that this and earlier compactions made and that are dropped need no entry any more.
+    hidden = {r: b for r, b in hidden.items() if not r.startswith(made) or (r, b) in closed}
+    target, last = f"{made}{uuid.uuid4().hex[:12]}", closed[-1][0]
+    version = snapshot.replace({**hidden, target: _ALL}, version)
+    yield "target hidden"
+    of_closed = family & (F.col(BATCH_COLUMN) < before)
+    rows = visible_rows(spark, table).filter(of_closed)
+    _insert(rows, table, last, cluster_by, target, "INTO")
+    yield "rows copied"
+    earlier = {r: _ALL for _, r in closed if r != run}
+    snapshot.replace({**hidden, **earlier, run: before}, version)
+    yield "swapped"
+    if drop:
+        for batch, name in closed:
+            _drop_batch(spark, table, name, batch)
+        yield "old batches dropped"
     spark.catalog.refreshTable(table)
+
+
+def _drop_batch(spark: SparkSession, table: str, run: str, batch: int) -> None:
+    spark.sql(
+        f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{RUN_COLUMN}` = '{run}', `{BATCH_COLUMN}` = {int(batch)})"
+    )
+    # An external table's partition leaves its files.
+    delete_folder(spark, f"{table_location(spark, table)}/{RUN_COLUMN}={run}/{BATCH_COLUMN}={int(batch)}")
+
+
+def compact_batches(
+    spark: SparkSession, table: str, run: str, before: int, cluster_by: str | None = None, drop: bool = True
+) -> None:
+    """Make the batches of a run below ``before`` one partition, of a run with a name of its own.
+
+    They must be closed: the run's query has gone on and runs none of them again. The
+    partition is written while the table's snapshot hides it, then a new snapshot hides the
+    old ones instead, in one step: a reader sees each row once at any time. With
+    ``cluster_by`` rows of a bucketed table are brought together first. Without ``drop`` the old
+    partitions stay for readers under way until the next compaction. One compaction of a
+    table runs at a time; a second one fails and changes nothing.
+    """
+    for _ in compaction(spark, table, run, before, cluster_by, drop):
+        pass

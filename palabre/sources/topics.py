@@ -6,6 +6,7 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -24,6 +25,9 @@ class Topics(Protocol):
     def read(self, spark: SparkSession, topic: str, **options: str) -> DataFrame:
         """The topic's records up to now."""
 
+    def read_since(self, spark: SparkSession, topic: str, seconds: float) -> DataFrame:
+        """The topic's records from a time (in seconds since 1970) on."""
+
     def publish(self, df: DataFrame, topic: str | None = None) -> None:
         """Append ``key, value`` rows to a topic, or to each row's own ``topic``."""
 
@@ -67,6 +71,14 @@ class KafkaTopics:
         settings = {**self.source_options(spark, topic), "startingOffsets": "earliest", **options}
         return spark.read.format("kafka").options(**settings).load()
 
+    def read_since(self, spark: SparkSession, topic: str, seconds: float) -> DataFrame:
+        return self.read(
+            spark,
+            topic,
+            startingTimestamp=str(int(seconds * 1000)),
+            startingOffsetsByTimestampStrategy="latest",
+        )
+
     def sink_options(self) -> dict[str, str]:
         """The connector's settings for writing: all that are meant for Kafka itself."""
         own = {k: v for k, v in self.options.items() if k.startswith("kafka.")}
@@ -110,6 +122,15 @@ class FileTopics:
         reader = spark.read.schema(_FILE_SCHEMA).options(**options)
         return self._columns(reader.parquet(self._path(topic)), topic)
 
+    def read_since(self, spark: SparkSession, topic: str, seconds: float) -> DataFrame:
+        try:
+            records = self.read(spark, topic)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], ENVELOPE)  # nothing was published there yet
+        return records.filter(F.col("timestamp") >= F.timestamp_seconds(F.lit(seconds)))
+
     def publish(self, df: DataFrame, topic: str | None = None) -> None:
         (
             _message(df, topic)

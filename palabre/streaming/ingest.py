@@ -14,16 +14,19 @@ from pyspark.sql.types import StructType
 
 from palabre.functions.records import to_envelope
 from palabre.functions.values import date_parts
-from palabre.operators.ingest import ingest_json
+from palabre.operators.ingest import Ingested, ingest_json
 from palabre.schemas import stored
 from palabre.sources.tables import (
+    BATCH_COLUMN,
     BATCH_PARTITIONS,
     DATE_COLUMNS,
+    RUN_COLUMN,
     ensure_table,
     quarantine,
     write_batch,
 )
 from palabre.sources.topics import Topics
+from palabre.streaming.outbox import Outbox
 from palabre.streaming.queries import run_name, start_batches
 
 log = logging.getLogger(__name__)
@@ -79,14 +82,16 @@ def ingest_batch(
     job: IngestJob,
     topics: Topics | None = None,
     run: str = "main",
+    outbox: Outbox | None = None,
 ) -> dict[str, int]:
-    """Publish and store the valid records of a micro-batch, quarantine the others.
+    """Store the valid records of a micro-batch, quarantine the others, publish copies.
 
     The batch is parsed once. Ids depend on the records' topic positions only and
-    each batch of a run owns its partition, so a replay replaces what it wrote; copies on
-    the save topic may repeat and carry the same id. Returns the numbers of
-    records, seen on the way to the table; records that a lost executor had
-    processed may be in them twice.
+    each batch of a run owns its partition, so a replay replaces what it wrote. Copies for
+    the save topic are made from that partition and, with an ``outbox``, sent once; without
+    one a replay sends them again, with the same ids. Returns the numbers of
+    records: valid and invalid ones are counted in what was written, so a task that ran
+    twice changes nothing.
     """
     spark = batch.sparkSession
     ingested = ingest_json(
@@ -115,14 +120,44 @@ def ingest_batch(
         counts = dict(observed.get)
         if counts["invalid"]:
             quarantine(kept.invalid, job.error_table, batch_id, job.error_location, run)
+        counts = _reconciled(spark, kept, counts, job, run, batch_id)
         if topics is not None and job.save_topic and counts["valid"]:
-            topics.publish(to_envelope(kept.valid), job.save_topic)
+            stored_columns = [f.name for f in (stored(job.schema) if job.with_id else job.schema).fields]
+
+            def copies() -> DataFrame:
+                return to_envelope(_partition(spark, job.table, run, batch_id).select(*stored_columns))
+
+            if outbox is None:
+                topics.publish(copies(), job.save_topic)
+            else:
+                outbox.publish(batch_id, copies, job.save_topic, repeatable=True)
     finally:
         parsed.unpersist()
     log.info("%s batch %d: %s", job.table, batch_id, counts)
     return counts
 
 
+def _partition(spark: SparkSession, table: str, run: str, batch_id: int) -> DataFrame:
+    """The rows that a batch has written."""
+    return spark.read.table(table).filter((F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) == batch_id))
+
+
+def _reconciled(
+    spark: SparkSession, ingested: Ingested, seen: dict[str, int], job: IngestJob, run: str, batch_id: int
+) -> dict[str, int]:
+    """The numbers seen on the way to the tables, counted again if the tables hold others.
+
+    A task that ran twice is seen twice but writes once. Files know how many rows they
+    have, so the comparison reads none.
+    """
+    valid = _partition(spark, job.table, run, batch_id).count()
+    invalid = _partition(spark, job.error_table, run, batch_id).count() if seen["invalid"] else 0
+    if (valid, invalid) == (seen["valid"], seen["invalid"]):
+        return seen
+    log.warning("%s batch %d: seen %s, stored %d and %d", job.table, batch_id, seen, valid, invalid)
+    return ingested.stats().first().asDict()
+
+
 def start_ingest(
     spark: SparkSession,
     topics: Topics,
@@ -134,9 +169,10 @@ def start_ingest(
 ) -> StreamingQuery:
     """Keep a table up to date with a topic."""
     run = run_name(spark, checkpoint)
+    outbox = Outbox(spark, topics, f"{checkpoint.rstrip('/')}/outbox")
     return start_batches(
         topics.stream(spark, job.topic, **source_options),
-        lambda batch, batch_id: ingest_batch(batch, batch_id, job, topics, run),
+        lambda batch, batch_id: ingest_batch(batch, batch_id, job, topics, run, outbox),
         checkpoint,
         interval=interval,
         available_now=available_now,

@@ -8,16 +8,22 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from palabre.sources.manifests import Manifest, ManifestConflict
+
+
 def run_name(spark: SparkSession, checkpoint: str) -> str:
     """The name of the run whose progress is kept in the checkpoint, made with it.
 
     It stays the same when the query starts again from there. A new checkpoint, even in
     the same place, is another run, whose batches are numbered from 0 again.
     """
-    path = f"{checkpoint.rstrip('/')}/run_name"
-    made = spark.createDataFrame([(uuid.uuid4().hex,)], "name string").coalesce(1)
-    made.write.mode("ignore").text(path)
-    return spark.read.text(path).first()["value"]
+    kept = Manifest(spark, f"{checkpoint.rstrip('/')}/run_name")
+    while not (found := kept.read()[1]):
+        try:
+            kept.replace({"name": uuid.uuid4().hex}, 0)
+        except ManifestConflict:
+            continue  # another start has just named it
+    return found["name"]
 
 
 BatchFunction = Callable[[DataFrame, int], None]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from palabre.functions.records import decode_value
-from palabre.operators.replies import reply_messages, reply_users, table_as_json
-from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN
+from palabre.operators.accounts import judge_logins
+from palabre.operators.replies import reply_all_users, reply_messages, reply_users, table_as_json
+from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN, USER_NOT_FOUND
+from palabre.session import scratch, store
 from palabre.sources.tables import read_table, table_exists
 from palabre.sources.topics import Topics
+from palabre.streaming.outbox import Outbox
 from palabre.streaming.queries import run_name, start_batches
 
 ReplyBuilder = Callable[[DataFrame, str | None], DataFrame]
@@ -55,17 +61,40 @@ def parse_credentials(requests: DataFrame) -> DataFrame:
     return records.select(F.from_json("raw_data", USER_LOGIN).alias("data")).select("data.*")
 
 
-def users_reply(users: str, **options) -> ReplyBuilder:
-    """Replies with all users if a request's credentials are right, else an error."""
+@dataclass(frozen=True)
+class UsersReply:
+    """Replies with all users to requesters with right credentials, with an error to others.
 
-    def build(requests: DataFrame, request_key: str | None) -> DataFrame:
+    Called like any builder it judges a batch of requests as one; ``judge`` tells its
+    requesters apart, and ``answer_requests`` gives each its own answer by that.
+    """
+
+    users: str
+    options: dict[str, Any]
+
+    def __call__(self, requests: DataFrame, request_key: str | None) -> DataFrame:
         spark = requests.sparkSession
-        if _missing(spark, users):
+        if _missing(spark, self.users):
             return empty_reply(spark, request_key)
         credentials = parse_credentials(requests).dropna()
-        return reply_users(_fresh(spark, users), credentials, request_key=request_key, **options)
+        return reply_users(_fresh(spark, self.users), credentials, request_key=request_key, **self.options)
 
-    return build
+    def judge(self, requests: DataFrame) -> DataFrame | None:
+        """``key, right`` for each requester; None while there is no table."""
+        spark = requests.sparkSession
+        if _missing(spark, self.users):
+            return None
+        records = decode_value(requests, keep_key=True)
+        login = records.select("key", F.from_json("raw_data", USER_LOGIN).alias("data")).select("key", "data.*")
+        return judge_logins(login, _fresh(spark, self.users))
+
+    def all_users(self, spark: SparkSession, request_key: str | None) -> DataFrame:
+        return reply_all_users(_fresh(spark, self.users), request_key=request_key, **self.options)
+
+
+def users_reply(users: str, **options) -> UsersReply:
+    """Replies with all users to requests with right credentials, else with an error."""
+    return UsersReply(users, options)
 
 
 def table_reply(table: str, **options) -> ReplyBuilder:
@@ -80,20 +109,45 @@ def table_reply(table: str, **options) -> ReplyBuilder:
     return build
 
 
-def answer_requests(requests: DataFrame, build: ReplyBuilder, name: str) -> DataFrame:
-    """One reply for all requests of a batch.
+def _pointers(keys: DataFrame, name: str) -> DataFrame:
+    """For each key a message that says where the reply is."""
+    pointer = F.to_json(F.struct(F.lit(name).alias("reply"))).alias("value")
+    return keys.filter(F.col("key").isNotNull()).select("key", pointer)
+
+
+@contextmanager
+def answer_requests(requests: DataFrame, build: ReplyBuilder, name: str) -> Iterator[DataFrame]:
+    """The replies to the requests of a batch, each requester under its own key.
 
-    If they share a key, the reply has it. Else the reply has the key ``name`` and each
-    request's key gets a message that points to it: ``{"reply": name}``.
+    What all may see is made once. If one requester gets it, it has that one's key. Else
+    it has the key ``name``, and each requester gets a message that points to it:
+    ``{"reply": name}``. Where requests carry credentials (``UsersReply``), only requesters
+    with right ones get the users or the pointer, each of the others an error. The replies
+    are there within the context only: what is stored for them goes with it.
     """
     key = F.col("key").cast("string").alias("key")
-    keys = requests.select(key).distinct()
-    first = keys.limit(2).collect()
-    if len(first) == 1:
-        return build(requests, first[0]["key"])
-    pointer = F.to_json(F.struct(F.lit(name).alias("reply"))).alias("value")
-    pointers = keys.filter(F.col("key").isNotNull()).select("key", pointer)
-    return build(requests, name).unionByName(pointers)
+    judged = build.judge(requests) if isinstance(build, UsersReply) else None
+    spark = requests.sparkSession
+    with scratch(spark, "reply"):
+        if judged is None:
+            keys = requests.select(key).distinct()
+            first = keys.limit(2).collect()
+            if len(first) == 1:
+                yield build(requests, first[0]["key"])
+            else:
+                yield build(requests, name).unionByName(_pointers(keys, name))
+            return
+        # One row for each requester.
+        judged = store(judged, "judged")
+        wrong = judged.filter(~F.col("right")).select("key", F.lit(USER_NOT_FOUND).alias("value"))
+        keys = judged.filter("right").select("key")
+        first = keys.limit(2).collect()
+        if not first:
+            yield wrong
+        elif len(first) == 1:
+            yield build.all_users(spark, first[0]["key"]).unionByName(wrong)
+        else:
+            yield build.all_users(spark, name).unionByName(_pointers(keys, name)).unionByName(wrong)
 
 
 def start_responder(
@@ -107,14 +161,16 @@ def start_responder(
     available_now: bool = False,
     **source_options: str,
 ) -> StreamingQuery:
-    """Answer each non-empty batch of requests with one reply."""
+    """Answer each non-empty batch of requests; a batch that is run again is answered once."""
 
     run = run_name(spark, checkpoint)
+    outbox = Outbox(spark, topics, f"{checkpoint.rstrip('/')}/outbox")
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         requests = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            topics.publish(answer_requests(requests, build, f"{run}-{batch_id}"), reply_topic)
+            with answer_requests(requests, build, f"{run}-{batch_id}") as replies:
+                outbox.publish(batch_id, lambda: replies, reply_topic)
         finally:
             requests.unpersist()
 
