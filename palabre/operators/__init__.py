@@ -21,6 +21,7 @@ from palabre.operators.messages import (
     route,
     status_counts,
 )
+from palabre.operators.models import ModelStore, accuracy
 from palabre.operators.replies import (
     json_reply,
     reply_all_users,
@@ -35,9 +36,13 @@ from palabre.operators.retail import (
     filter_min_price,
     preview_table,
 )
+from palabre.operators.status import KeptStatus, kept_status_counts, merge_status
 
 __all__ = [
     "Ingested",
+    "KeptStatus",
+    "ModelStore",
+    "accuracy",
     "amount_mismatches",
     "branch_on_match",
     "classify_messages",
@@ -47,8 +52,10 @@ __all__ = [
     "ingest_json",
     "json_reply",
     "judge_logins",
+    "kept_status_counts",
     "left_join",
     "login_matches",
+    "merge_status",
     "messages_left_join",
     "messages_with_status",
     "normalize_message",

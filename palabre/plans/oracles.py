@@ -301,6 +301,34 @@ ORACLES: dict[str, str] = {
     "stream_messages_reply": f"""WITH {_MESSAGES}, {_VERDICTS}, {_COPIES},
         {_message_records(True)} {_RECORDS}""",
     "compacted_roundtrip": "SELECT * FROM customer",
+    "compacted_while_read": """WITH steps(before, step) AS (
+            SELECT b, s FROM (VALUES (3), (6)) AS x(b), (VALUES ('leftovers dropped'), ('target hidden'),
+                ('rows copied'), ('swapped')) AS y(s)
+            UNION ALL SELECT 6, 'old batches dropped')
+        SELECT CAST(before AS INTEGER) AS before, step, c_mktsegment, COUNT(*) AS rows,
+               COUNT(DISTINCT c_custkey) AS customers
+        FROM customer, steps GROUP BY ALL""",
+    "publish_replayed": f"""WITH {_RAW_MESSAGES}
+        SELECT {_message_fields()}, TRUE AS distinct_ids FROM parsed
+        WHERE data->>'$.message' IS NOT NULL""",
+    "stream_responder_mixed": f"""WITH {_USERS}, {_credentials()}
+        SELECT c.email AS key, CASE WHEN bool_or(u.email IS NOT NULL) THEN 'users'
+            ELSE '{{"error":"Utilisateur non trouvé"}}' END AS answer
+        FROM credentials c LEFT JOIN users u ON u.email = c.email AND u.password = c.password
+        GROUP BY c.email""",
+    "stream_registration_stateful": f"""WITH {_REGISTRATIONS}, {_KNOWN_USERS}
+        SELECT email, strftime(COALESCE(MIN(date_inscription) FILTER (request % 2 = 0),
+            MIN(date_inscription)), {_TIME}) AS date_inscription
+        FROM registrations WHERE email NOT IN (SELECT email FROM known) GROUP BY email""",
+    "stream_kept_status": f"""WITH {_ORDER_MESSAGES}, {_LINE_VERDICTS}, {_COPIES}
+        SELECT message_id, valide, copies FROM copies""",
+    "stream_classifier_updated": """SELECT CAST(o_orderkey AS VARCHAR) AS id, urgent,
+            CASE WHEN urgent = (o_orderkey % 2 = 0) THEN 'inapproprié' ELSE 'approprié' END AS type
+        FROM (SELECT *, contains(o_orderpriority, 'URGENT') OR contains(o_orderpriority, 'HIGH') AS urgent
+              FROM orders)""",
+    "stream_router_changed": """SELECT 'spark' AS reader, COUNT(*) FILTER (event_id % 3 < 2) AS records FROM events
+        UNION ALL SELECT 'backend', COUNT(*) FILTER (event_id % 3 = 1) FROM events
+        UNION ALL SELECT 'nobody', COUNT(*) FILTER (event_id % 3 = 2) FROM events""",
     "stream_ingest_restarted": f"""WITH {_RAW_MESSAGES}
         SELECT {_message_fields()}, TRUE AS distinct_ids FROM parsed
         WHERE data->>'$.message' IS NOT NULL""",

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from palabre import schemas
+from palabre.operators.status import KeptStatus
 from palabre.sources.topics import Topics
 from palabre.streaming import (
     IngestJob,
+    kept_messages_reply,
     messages_reply,
     start_classifier,
     start_ingest,
-    start_registration,
     start_responder,
+    start_router,
+    start_stateful_registration,
+    start_status,
     users_reply,
 )
+from palabre.streaming.relay import Routes
 
 USERS = IngestJob(
     schemas.REGISTER,
@@ -97,6 +102,9 @@ def start_chat(
     unique_users: bool = False,
     reply_interval: str | None = None,
     prefix: str = "",
+    keep_status: bool = False,
+    routed: Sequence[str] = (),
+    routes: Routes | Callable[[], Routes] | None = None,
     **source_options: str,
 ) -> list[StreamingQuery]:
     """Ingest users, messages and verdicts, and answer requests for users and messages.
@@ -104,7 +112,10 @@ def start_chat(
     ``checkpoints`` is the folder for the queries' progress. ``buckets`` is the number for
     the tables' join keys: messages by id, verdicts by the message's id, users by e-mail;
     choose it for the size that they will reach. With ``classify`` sent messages are
-    labelled on their way; with ``unique_users`` an e-mail registers once.
+    labelled on their way (that of a ``ModelStore`` follows promotions); with ``unique_users`` an
+    e-mail registers once, by a state for each. With ``keep_status`` the messages' status is
+    kept up to date and replies need no join. The records of ``routed`` topics are copied to
+    their readers by ``routes`` (which a ``RouteTable`` may change while it runs).
     ``reply_interval`` bounds how often requests are answered (default: ``interval``).
     ``prefix`` goes before the tables' names, for instance a database and a dot.
     """
@@ -123,7 +134,7 @@ def start_chat(
     if unique_users:
         users = _placed(USERS, warehouse, prefix)
         ingests.append(
-            start_registration(
+            start_stateful_registration(
                 spark,
                 topics,
                 users.topic,
@@ -153,11 +164,37 @@ def start_chat(
                 **source_options,
             ),
         )
+    all_messages = messages_reply(prefix + MESSAGES.table, prefix + METADATA.table)
+    if keep_status:
+        kept = KeptStatus(spark, f"{warehouse or checkpoints}/{prefix}message_status", buckets or 64)
+        all_messages = kept_messages_reply(kept)
+        ingests.append(
+            start_status(
+                spark,
+                topics,
+                kept,
+                f"{checkpoints}/message_status",
+                interval=interval,
+                available_now=available_now,
+                **source_options,
+            )
+        )
+    ingests += [
+        start_router(
+            spark,
+            topics,
+            topic,
+            f"{checkpoints}/router_{topic}",
+            routes,
+            interval=interval,
+            available_now=available_now,
+            **source_options,
+        )
+        for topic in routed
+    ]
     replies = {
         (schemas.SEND_USERS, schemas.GET_USERS): users_reply(prefix + USERS.table),
-        (schemas.SEND_ALL_MESSAGES, schemas.GET_ALL_MESSAGES): messages_reply(
-            prefix + MESSAGES.table, prefix + METADATA.table
-        ),
+        (schemas.SEND_ALL_MESSAGES, schemas.GET_ALL_MESSAGES): all_messages,
     }
     responders = [
         start_responder(

@@ -15,12 +15,13 @@ from palabre import operators as ops
 from palabre import schemas
 from palabre.functions import assign_id, decode_value, format_time, parse_time, to_envelope
 from palabre.plans import fixtures as fx
-from palabre.session import shared_dir
+from palabre.session import shared_dir, store
 from palabre.sources import (
     FileTopics,
     append_partitioned_by_date,
     append_table,
     compact_batches,
+    compaction,
     ensure_table,
     overwrite_table,
     read_json_records,
@@ -32,11 +33,17 @@ from palabre.plans.platform import MESSAGES, METADATA, start_chat
 from palabre.sources.tables import BATCH_PARTITIONS, DATE_COLUMNS
 from palabre.streaming import (
     IngestJob,
+    Outbox,
+    RouteTable,
+    ingest_batch,
     messages_reply,
     start_classifier,
     start_ingest,
     start_registration,
     start_responder,
+    start_router,
+    start_stateful_registration,
+    start_status,
     table_reply,
     users_reply,
 )
@@ -823,3 +830,171 @@ def stream_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     reply = decode_value(topics.read(spark, schemas.GET_ALL_MESSAGES), keep_key=True)
     reply = reply.select("key", F.col("raw_data").alias("value")).filter(F.startswith("key", F.lit("r")))
     return _contract(reply, "r")
+
+
+@query
+def compacted_while_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader sees after each step of two compactions."""
+    name, location = _new_table(spark)
+    customers = fx.table(spark, sf_dir, "customer")
+    ensure_table(spark, name, customers.schema, partition_by=BATCH_PARTITIONS, location=location)
+    for batch_id in range(6):
+        write_batch(customers.filter(F.col("c_nationkey") % 6 == batch_id), name, batch_id)
+    seen = None
+    for before, drop in ((3, False), (6, True)):
+        for step in compaction(spark, name, "main", before, drop=drop):
+            now = read_table(spark, name).groupBy("c_mktsegment").agg(
+                F.count("*").alias("rows"), F.count_distinct("c_custkey").alias("customers")
+            )
+            now = store(now.select(F.lit(before).alias("before"), F.lit(step).alias("step"), "*"), "seen")
+            seen = now if seen is None else seen.unionByName(now)
+    return seen
+
+
+class _BreakingTopics(FileTopics):
+    """Breaks off in the middle of a publication."""
+
+    def publish(self, df: DataFrame, topic: str | None = None) -> None:
+        super().publish(df.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == 0), topic)
+        raise ConnectionError("broken off")
+
+
+@query
+def publish_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copies of a batch whose publication broke off half way, and which is run twice more."""
+    topics, root = _staged_messages(spark, sf_dir)
+    name, _ = _new_table(spark)
+    job = IngestJob(
+        schemas.IA_MESSAGE,
+        schemas.MESSAGE,
+        table=name,
+        error_table=f"{name}_errors",
+        save_topic="messages_save",
+        location=f"{root}/messages",
+        error_location=f"{root}/messages_errors",
+    )
+    batch = topics.read(spark, schemas.IA_MESSAGE)
+    for place in (_BreakingTopics(topics.root), topics, topics):
+        try:
+            ingest_batch(batch, 0, job, place, "run", Outbox(spark, place, f"{root}/outbox"))
+        except ConnectionError:
+            continue
+    value = F.from_json(F.col("value").cast("string"), schemas.stored(schemas.MESSAGE))
+    return _whole(topics.read(spark, "messages_save").select(value.alias("v")).select("v.*"))
+
+
+@query
+def stream_responder_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logins under the customers' own keys, right and wrong ones in one batch; each one's answer."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    name, location = _new_table(spark)
+    overwrite_table(fx.users(spark, sf_dir), name, location=location)
+    topics.publish(to_envelope(fx.credentials(spark, sf_dir), F.col("email")), schemas.SEND_USERS)
+    start_responder(
+        spark, topics, schemas.SEND_USERS, schemas.GET_USERS, users_reply(name), f"{root}/checkpoint", available_now=True
+    ).awaitTermination()
+    answers = decode_value(topics.read(spark, schemas.GET_USERS), keep_key=True)
+    points = F.get_json_object("raw_data", "$.reply").isNotNull()
+    return answers.filter(F.startswith("key", F.lit("customer."))).select(
+        "key", F.when(points, "users").otherwise(F.col("raw_data")).alias("answer")
+    )
+
+
+@query
+def stream_registration_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders register their customers in two batches, next to a table of known ones."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    (name, _), (known, known_location) = _new_table(spark), _new_table(spark)
+    overwrite_table(fx.known_users(spark, sf_dir), known, location=known_location)
+    records = fx.registrations(spark, sf_dir)
+    for half in (0, 1):
+        part = records.filter(F.col("request") % 2 == half)
+        topics.publish(to_envelope(_time_as_text(part, "date_inscription")), schemas.REGISTER)
+        start_stateful_registration(
+            spark,
+            topics,
+            schemas.REGISTER,
+            name,
+            f"{root}/checkpoint",
+            known=[known] if half == 0 else [],
+            available_now=True,
+            location=f"{root}/users",
+            error_location=f"{root}/users_errors",
+        ).awaitTermination()
+    return _time_as_text(read_table(spark, name), "date_inscription").select("email", "date_inscription")
+
+
+@query
+def stream_kept_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some verdicts, then the messages, then the other verdicts, each in a batch of its own."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    messages = to_envelope(_time_as_text(fx.order_messages(spark, sf_dir), "Created_At"))
+    verdicts = _time_as_text(fx.line_verdicts(spark, sf_dir), "date")
+    early = F.pmod(F.xxhash64("id_message", "date", "valide"), F.lit(3)) == 0
+    kept = ops.KeptStatus(spark, f"{root}/status", buckets=16)
+    topics.publish(spark.createDataFrame([], schemas.REPLY), schemas.IA_MESSAGE)
+    for rows, topic in (
+        (to_envelope(verdicts.filter(early)), schemas.CHECK_MESSAGE),
+        (messages, schemas.IA_MESSAGE),
+        (to_envelope(verdicts.filter(~early)), schemas.CHECK_MESSAGE),
+    ):
+        topics.publish(rows, topic)
+        start_status(spark, topics, kept, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return ops.kept_status_counts(kept.read()).select("message_id", "valide", "copies")
+
+
+@query
+def stream_classifier_updated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A running job's labels before and after another model has been promoted."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    messages = spread(fx.order_messages(spark, sf_dir))
+    urgent = F.col("message").contains("URGENT") | F.col("message").contains("HIGH")
+    bad, good = schemas.MESSAGE_LABELS
+    models = ops.ModelStore(spark, f"{root}/models")
+    sent = to_envelope(_time_as_text(messages, "Created_At"))
+    parity = F.get_json_object("value", "$.id").cast("long") % 2
+    topics.publish(sent.limit(0), schemas.SEND_MESSAGE)
+    models.train(messages.withColumn("type", F.when(urgent, bad).otherwise(good)))
+    running = start_classifier(spark, topics, models.classify, f"{root}/checkpoint", error_table=_new_table(spark)[0])
+    try:
+        topics.publish(sent.filter(parity == 0), schemas.SEND_MESSAGE)
+        running.processAllAvailable()
+        models.train(messages.withColumn("type", F.when(urgent, good).otherwise(bad)))
+        topics.publish(sent.filter(parity == 1), schemas.SEND_MESSAGE)
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    labelled = ops.ingest_json(topics.read(spark, schemas.IA_MESSAGE), schemas.MESSAGE, keep_id=True).valid
+    return labelled.select("id", urgent.alias("urgent"), "type")
+
+
+@query
+def stream_router_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events routed by a table that changes twice while the router runs, counted by reader."""
+    root = shared_dir(spark, "stream")
+    topics = FileTopics(f"{root}/topics")
+    events = to_envelope(fx.table(spark, sf_dir, "events").select("event_id"))
+    third = F.get_json_object("value", "$.event_id").cast("long") % 3
+    routes = RouteTable(spark, f"{root}/routes", {schemas.CHECK_MESSAGE: ["spark"]})
+    left: list[dict[str, int]] = []
+    topics.publish(events.limit(0), schemas.CHECK_MESSAGE)
+    running = start_router(
+        spark, topics, schemas.CHECK_MESSAGE, f"{root}/checkpoint", routes, counted=left.append
+    )
+    try:
+        for part, readers in enumerate((["spark"], ["spark", "backend"], None)):
+            routes.change({schemas.CHECK_MESSAGE: readers})
+            topics.publish(events.filter(third == part), schemas.CHECK_MESSAGE)
+            running.processAllAvailable()
+    finally:
+        running.stop()
+    unrouted = spark.createDataFrame([(sum(n["unrouted"] for n in left),)], "records long")
+    counts = unrouted.select(F.lit("nobody").alias("reader"), "records")
+    for reader in ("spark", "backend"):
+        read = topics.read(spark, reader).agg(F.count("*").alias("records"))
+        counts = counts.unionByName(read.select(F.lit(reader).alias("reader"), "records"))
+    return counts

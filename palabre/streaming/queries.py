@@ -36,8 +36,9 @@ def start_batches(
     interval: str | None = None,
     available_now: bool = False,
     name: str | None = None,
+    empty_too: bool = False,
 ) -> StreamingQuery:
-    """Run ``process`` on every non-empty micro-batch.
+    """Run ``process`` on every non-empty micro-batch (with ``empty_too`` on every one).
 
     ``interval`` is a fixed trigger such as ``'30 seconds'``; without it batches
     follow each other at once. ``available_now`` works off what is there and
@@ -46,7 +47,7 @@ def start_batches(
     """
 
     def process_if_any(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        if empty_too or not batch.isEmpty():
             process(batch, batch_id)
 
     writer = (

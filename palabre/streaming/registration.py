@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from palabre.operators.accounts import register_unique
+from palabre.operators.accounts import email_key, register_unique
 from palabre.operators.ingest import ingest_json
 from palabre.schemas import USER, stored
 from palabre.sources.tables import (
@@ -20,6 +22,7 @@ from palabre.sources.tables import (
     RUN_COLUMN,
     ensure_table,
     quarantine,
+    visible_rows,
     write_batch,
 )
 from palabre.sources.topics import Topics
@@ -64,7 +67,7 @@ def register_batch(
     try:
         counts = ingested.stats().first().asDict()
         own = (F.col(RUN_COLUMN) == run) & (F.col(BATCH_COLUMN) >= batch_id)
-        known = spark.read.table(table).filter(~own).select("email")
+        known = visible_rows(spark, table).filter(~own).select("email")
         accepted = register_unique(ingested.valid, known, order_by).checkpoint()
         write_batch(accepted, table, batch_id, cluster_by="email" if buckets else None, run=run)
         if counts["invalid"]:
@@ -75,6 +78,123 @@ def register_batch(
     return counts
 
 
+#: The state store that keeps more keys than fit in memory.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_EMAIL = "_email"
+
+
+class FirstOfEmail(StatefulProcessor):
+    """Lets the first registration of each e-mail pass; the state is whether it is taken."""
+
+    def __init__(self, order_by: Sequence[str]) -> None:
+        self._order_by = tuple(order_by)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._taken = handle.getValueState("taken", "taken boolean")
+
+    def _rank(self, row: Row) -> tuple:
+        return tuple((row[c] is not None, row[c]) for c in self._order_by)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        first = min(rows, key=self._rank)
+        if not self._taken.exists():
+            self._taken.update((True,))
+            yield first
+
+    def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:
+        self._taken.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def _first_in_chunk(order_by: Sequence[str]):
+    """Of each Arrow batch the first row of each e-mail: what a hot one sends to its task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order = pc.sort_indices(
+                batch, sort_keys=[(c, "ascending") for c in order_by], null_placement="at_start"
+            ).to_pylist()
+            emails = batch.column(_EMAIL).to_pylist()
+            first = {emails[i]: i for i in reversed(order)}
+            yield batch.take(pa.array(sorted(first.values()), pa.int64()))
+
+    return run
+
+
+def start_stateful_registration(
+    spark: SparkSession,
+    topics: Topics,
+    topic: str,
+    table: str,
+    checkpoint: str,
+    known: Sequence[str] = (),
+    order_by: Sequence[str] = ("date_inscription", "id"),
+    interval: str | None = None,
+    available_now: bool = False,
+    location: str | None = None,
+    buckets: int | None = None,
+    error_table: str | None = None,
+    error_location: str | None = None,
+    **source_options: str,
+) -> StreamingQuery:
+    """Keep a table of users with unique e-mails up to date, by a state for each e-mail.
+
+    The state begins with the e-mails of ``table`` and of the ``known`` tables (of those that
+    exist) and lives with the checkpoint: after the first batch no table is read, however
+    many users there are. State and table move on together, batch by batch, and a batch that
+    is run again writes the same rows. So only this query may add users; e-mails that come
+    to the tables by other ways afterwards are not seen. ``spark.sql.shuffle.partitions`` is
+    fixed with the checkpoint: choose it for the number of e-mails.
+    """
+    run = run_name(spark, checkpoint)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    ensure_table(
+        spark, table, stored(USER), bucket_by="email", buckets=buckets, partition_by=BATCH_PARTITIONS, location=location
+    )
+    ingested = ingest_json(topics.stream(spark, topic, **source_options), USER, unwrap=True)
+    names = [f.name for f in stored(USER).fields]
+    offered = ingested.valid.select(*names, email_key().alias(_EMAIL))
+    fewer = offered.mapInArrow(_first_in_chunk(order_by), offered.schema)
+    taken = None
+    for name in (table, *known):
+        if not spark.catalog.tableExists(name):
+            continue
+        rows = visible_rows(spark, name)
+        if name == table:
+            rows = rows.filter(F.col(RUN_COLUMN) != run)
+        emails = rows.select(email_key().alias(_EMAIL))
+        taken = emails if taken is None else taken.unionByName(emails)
+    accepted = fewer.groupBy(_EMAIL).transformWithState(
+        statefulProcessor=FirstOfEmail(order_by),
+        outputStructType=offered.schema,
+        outputMode="Append",
+        timeMode="None",
+        initialState=taken.distinct().groupBy(_EMAIL),
+    )
+    rejected = ingested.invalid.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in stored(USER).fields], "corrupt_record", "processed_time"
+    )
+    both = accepted.drop(_EMAIL).unionByName(rejected, allowMissingColumns=True)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = rows.filter(F.col("corrupt_record").isNull()).select(*names)
+            write_batch(good, table, batch_id, cluster_by="email" if buckets else None, run=run)
+            bad = rows.filter(F.col("corrupt_record").isNotNull())
+            if not bad.isEmpty():
+                quarantine(bad, error_table or f"{table}_errors", batch_id, error_location, run)
+        finally:
+            rows.unpersist()
+
+    # A look whether a batch is empty would run the stateful operator an extra time.
+    return start_batches(
+        both, write, checkpoint, interval=interval, available_now=available_now, empty_too=True
+    )
+
+
 def start_registration(
     spark: SparkSession,
     topics: Topics,

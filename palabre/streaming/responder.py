@@ -14,8 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from palabre.functions.records import decode_value
 from palabre.operators.accounts import judge_logins
-from palabre.operators.replies import reply_all_users, reply_messages, reply_users, table_as_json
-from palabre.schemas import EMPTY_REPLY, REPLY, USER_LOGIN, USER_NOT_FOUND
+from palabre.operators.replies import (
+    json_reply,
+    reply_all_users,
+    reply_messages,
+    reply_users,
+    table_as_json,
+)
+from palabre.operators.status import KeptStatus, kept_status_counts
+from palabre.schemas import EMPTY_REPLY, MESSAGE_WITH_STATUS, REPLY, USER_LOGIN, USER_NOT_FOUND
 from palabre.session import scratch, store
 from palabre.sources.tables import read_table, table_exists
 from palabre.sources.topics import Topics
@@ -56,6 +63,19 @@ def messages_reply(messages: str, metadata: str, **options) -> ReplyBuilder:
     return build
 
 
+def kept_messages_reply(kept: KeptStatus, include_id: bool = False, **options) -> ReplyBuilder:
+    """Replies with all messages and their status as it is kept: nothing is joined for a reply."""
+
+    def build(requests: DataFrame, request_key: str | None) -> DataFrame:
+        if not kept.exists():
+            return empty_reply(requests.sparkSession, request_key)
+        columns = (["message_id"] if include_id else []) + MESSAGE_WITH_STATUS.names
+        rows = kept_status_counts(kept.read())
+        return json_reply(rows, copies="copies", columns=columns, request_key=request_key, **options)
+
+    return build
+
+
 def parse_credentials(requests: DataFrame) -> DataFrame:
     records = decode_value(requests)
     return records.select(F.from_json("raw_data", USER_LOGIN).alias("data")).select("data.*")
