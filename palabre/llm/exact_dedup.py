@@ -5,8 +5,8 @@ Texts are equal when they are the same bytes after lower-casing A-Z.
 1. One pass over the texts gives each row a 64-bit fingerprint and a digest.
 2. Each partition builds counting quotient filters of its fingerprints, one for
    each range of fingerprints. A hot text is one entry with a count.
-3. The filters of a range are merged by their sorted remainders. Ranges are cut so
-   that a merged filter stays small however many rows there are.
+3. The filters of a range are merged by their sorted remainders, in two levels. Ranges are
+   cut so that a merged filter stays small however many rows there are.
 4. Only rows whose fingerprint is counted more than once go on to verification,
    which groups them by their normalised bytes (summed up before the shuffle).
 """
@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,10 @@ from palabre.llm.quotient_filter import CountingQuotientFilter
 
 #: Rows for each range of fingerprints, about.
 RANGE_ROWS = 500_000
-#: Quotient bits within a range.
-QUOTIENT_BITS = 10
+#: Rows that a filter is built of at once.
+BUILT_ROWS = 200_000
+#: Groups in which the filters of a range are merged before those of the groups are.
+LANES = 32
 
 _DIGESTS = "doc_id long, fingerprint long, text_sha256 string"
 
@@ -60,9 +63,12 @@ def _normalised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_fingerprints(
-    digests: DataFrame, range_rows: int = RANGE_ROWS, quotient_bits: int = QUOTIENT_BITS
+    digests: DataFrame, range_rows: int = RANGE_ROWS, lanes: int = LANES
 ) -> DataFrame:
-    """The fingerprints that occur more than once, by merging filters of the partitions."""
+    """The fingerprints that occur more than once, by merging filters of the partitions.
+
+    A filter is as large as its entries are many, so that many ranges cost no more than few.
+    """
     rows = digests.count()
     range_bits = max(0, int(np.ceil(np.log2(max(1, rows / range_rows)))))
 
@@ -72,16 +78,17 @@ def repeated_fingerprints(
         order = np.argsort(ranges, kind="stable")
         names, first = np.unique(ranges[order], return_index=True)
         filters = [
-            CountingQuotientFilter.build(part, quotient_bits).to_bytes()
+            CountingQuotientFilter.build(part).to_bytes()
             for part in np.split(rest[order], first[1:])
         ]
-        return pd.DataFrame({"part": names.astype(np.int64), "block": filters})
+        lane = TaskContext.get().partitionId() % lanes
+        return pd.DataFrame({"part": names.astype(np.int64), "lane": lane, "block": filters})
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
         for batch in batches:
             held.append(batch["fingerprint"].to_numpy().view(np.uint64))
-            if sum(map(len, held)) >= range_rows:
+            if sum(map(len, held)) >= BUILT_ROWS:
                 yield block(np.concatenate(held))
                 held = []
         if held:
@@ -94,8 +101,13 @@ def repeated_fingerprints(
             found |= np.uint64(int(key[0])) << np.uint64(64 - range_bits)
         return pd.DataFrame({"fingerprint": found.view(np.int64)})
 
-    blocks = digests.select("fingerprint").mapInPandas(build, "part long, block binary")
-    return blocks.groupBy("part").applyInPandas(merge, "fingerprint long")
+    def merge_lane(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
+        merged = CountingQuotientFilter.merge_all(blocks["block"]).to_bytes()
+        return pd.DataFrame({"part": [key[0]], "block": [merged]})
+
+    blocks = digests.select("fingerprint").mapInPandas(build, "part long, lane int, block binary")
+    lanes_merged = blocks.groupBy("part", "lane").applyInPandas(merge_lane, "part long, block binary")
+    return lanes_merged.groupBy("part").applyInPandas(merge, "fingerprint long")
 
 
 def exact_duplicates(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
