@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from palabre.llm.quality import COMMON_WORDS, KINDS, Limits
+from palabre.llm.quality import COMMON_WORDS, KINDS, STEPS, Limits
 
 LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -53,13 +53,40 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN first ON id = d.do
 """
 
 
-def _distance(own: str, all_: str) -> str:
-    """The Jensen-Shannon distance of two histograms, lists of counts."""
-    share = "list_transform({0}, lambda x: x / list_sum({0}))"
-    pairs = f"list_zip({share.format(own)}, {share.format(all_)})"
+def _distance(own: str, reference: str) -> str:
+    """The Jensen-Shannon distance of a list of counts from one of shares."""
+    pairs = f"list_zip(list_transform({own}, lambda x: x / list_sum({own})), {reference})"
     term = "CASE WHEN x[{0}] > 0 THEN x[{0}] * log2(x[{0}] / ((x[1] + x[2]) / 2)) ELSE 0.0 END"
     total = f"list_sum(list_transform({pairs}, lambda x: {term.format(1)} + {term.format(2)}))"
-    return f"CASE WHEN list_sum({own}) > 0 THEN sqrt(greatest({total} / 2, 0.0)) END"
+    return f"CASE WHEN list_sum({own}) > 0 AND {reference} IS NOT NULL THEN sqrt(greatest({total} / 2, 0.0)) END"
+
+
+def _references(name: str, texts: str, limits: Limits, bins: int) -> str:
+    """Mean shares of near texts, sources by the share of theirs that are; kinds with those of all languages."""
+
+    def summed(column: str, size: int) -> str:
+        listed = ", ".join(f"avg(CASE WHEN near THEN {column}[{i + 1}] ELSE 0 * {column}[{i + 1}] END)" for i in range(size))
+        return f"[{listed}] AS {column}"
+
+    def mean(column: str, size: int) -> str:
+        return f"[{', '.join(f'sum({column}[{i + 1}]) / sum(weight)' for i in range(size))}] AS {column}"
+
+    weighed = f"(x[1] * n + x[2] * {limits.prior}) / (n + {limits.prior})"
+    return f"""
+{name}_source AS (
+  SELECT lang, source, {summed('kinds', bins)}, {summed('words', 17)}, avg(near::INT) AS weight,
+         count(*) FILTER (near) AS n
+  FROM (
+    SELECT lang, source, near, list_transform(kinds, lambda x: x / list_sum(kinds)) AS kinds,
+           list_transform(common, lambda x: x / list_sum(common)) AS words
+    FROM {texts}) GROUP BY lang, source
+),
+{name} AS (
+  SELECT lang, list_transform(list_zip(kinds, all_kinds), lambda x: {weighed}) AS all_kinds,
+         CASE WHEN words[1] IS NOT NULL THEN words END AS all_common
+  FROM (SELECT lang, {mean('kinds', bins)}, {mean('words', 17)}, sum(n) AS n FROM {name}_source GROUP BY lang),
+       (SELECT kinds AS all_kinds FROM (SELECT {mean('kinds', bins)} FROM {name}_source))
+)"""
 
 
 def _quality(limits: Limits = Limits()) -> str:
@@ -74,7 +101,7 @@ def _quality(limits: Limits = Limits()) -> str:
     bins = len(KINDS) + 2
     return rf"""
 WITH d AS (
-  SELECT doc_id, lang, coalesce(text, '') AS t,
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
          ' ' || regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', '  ', 'g') || ' ' AS p
   FROM documents
 ),
@@ -92,7 +119,7 @@ covered AS (
   SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id
 ),
 f AS (
-  SELECT w.doc_id, lang, len(ws)::BIGINT AS n_words,
+  SELECT w.doc_id, lang, source, t, len(ws)::BIGINT AS n_words,
          length(regexp_replace(t, '{SPACE}', '', 'g'))::BIGINT AS word_chars,
          ({kinds[-1]})::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
@@ -108,21 +135,30 @@ h AS (
     list_append(common, greatest(n_words - list_sum(common), 0))::BIGINT[] AS common
   ) FROM f
 ),
-r AS (
-  SELECT lang, [{", ".join(f"sum(kinds[{i + 1}])" for i in range(bins))}] AS all_kinds,
-         [{", ".join(f"sum(common[{i + 1}])" for i in range(17))}] AS all_common
-  FROM h WHERE common IS NOT NULL GROUP BY lang
-  HAVING {" + ".join(f"sum(common[{i + 1}])" for i in range(16))} >= {limits.reference_words}
+a AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM h),
+e AS (
+  SELECT lang, source, t, any_value(kinds) AS kinds, any_value(common) AS common, TRUE AS near
+  FROM a WHERE NOT base_failed AND n_words >= {limits.words} GROUP BY lang, source, t
+),{_references("first", "e", limits, bins)},
+m AS (
+  SELECT e.* EXCLUDE (near), floor({_distance("kinds", "all_kinds")} * {STEPS}) AS step
+  FROM e LEFT JOIN first ON first.lang IS NOT DISTINCT FROM e.lang
 ),
+near AS (
+  SELECT m.*, step <= median AS near FROM m JOIN (
+    SELECT lang, min(step) AS median FROM (
+      SELECT lang, step, 2 * count(*) OVER (PARTITION BY lang ORDER BY step) >= count(*) OVER (PARTITION BY lang) AS enough
+      FROM m) WHERE enough GROUP BY lang
+  ) half ON half.lang IS NOT DISTINCT FROM m.lang
+),{_references("r", "near", limits, bins)},
 j AS (
-  SELECT h.*, {_distance("kinds", "all_kinds")} AS kd, {_distance("common", "all_common")} AS wd,
-         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
-  FROM h LEFT JOIN r ON r.lang = h.lang
+  SELECT a.*, {_distance("kinds", "all_kinds")} AS kd, {_distance("common", "all_common")} AS wd
+  FROM a LEFT JOIN r ON r.lang IS NOT DISTINCT FROM a.lang
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        round(kd, 6) AS kinds_distance, round(wd, 6) AS words_distance,
-       NOT base_failed AND NOT coalesce(n_words >= {limits.words}
-         AND (kd > {limits.kinds_distance} OR wd > {limits.words_distance}), FALSE) AS kept
+       NOT base_failed AND NOT coalesce(n_words >= {limits.words} AND (
+         kd > greatest({limits.kinds_least}, {limits.kinds_scaled} / sqrt(n_words)) OR wd > greatest({limits.words_least}, {limits.words_scaled} / sqrt(n_words))), FALSE) AS kept
 FROM j
 """
 
