@@ -1,8 +1,9 @@
-"""Signature rules for licenses: hand-written names and addresses, in several forms.
+"""Signature rules for licenses: hand-written names, addresses and wordings.
 
 A rule is a regular expression with a keyword that its matches contain. Each license has
 a label, a pattern of its names, one of its addresses (or none) and keywords of both.
-Together with the forms in which licenses are stated these make several hundred rules.
+Together with the forms in which licenses are stated these make several hundred rules. Bodies
+and headers of common licenses are found by their own wording, without any name.
 """
 
 from __future__ import annotations
@@ -89,6 +90,44 @@ LICENSES: list[tuple[str, str, str, str, str]] = [
     ("all-rights-reserved", r"\ball\s+rights\s+reserved\b", "all rights", "", ""),
 ]
 
+# Label; a word of the wording; wording of the license's body or header ("..." is up to 20 words).
+BODIES: list[tuple[str, str, str]] = [
+    ("mit", "hereby", "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("ncsa", "hereby", "to any person obtaining a copy of this software and associated documentation files ... to deal with the software without restriction"),
+    ("x11", "dealings", "shall not be used in advertising or otherwise to promote the sale, use or other dealings in this software without prior written authorization"),
+    ("bsl-1.0", "hereby", "permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("ofl-1.1", "hereby", "permission is hereby granted, free of charge, to any person obtaining a copy of the font software"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-3-clause", "endorse", "neither the name of ... may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-3-clause", "endorse", "the name of ... may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("isc", "fee", "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "fee", "permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("0bsd", "fee", "permission to use, copy, modify, and or distribute this software for any purpose with or without fee is hereby granted. the software is provided as is"),
+    ("postgresql", "fee", "permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted"),
+    ("apache-2.0", "unless", "unless required by applicable law or agreed to in writing, software distributed under the license is distributed on an as is basis"),
+    ("apache-2.0", "irrevocable", "grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
+    ("gpl", "redistribute", "is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl-2.0", "redistribute", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license"),
+    ("gpl-3.0", "redistribute", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license"),
+    ("gpl-2.0", "freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3.0", "copyleft", "the gnu general public license is a free, copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "copyleft", "the gnu affero general public license is a free, copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "redistribute", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license"),
+    ("lgpl", "redistribute", "under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("mpl-2.0", "source", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl", "accompanying", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("cddl-1.0", "notices", "do not alter or remove copyright notices or this file header use is subject to the terms of the common development and distribution license"),
+    ("zlib", "authors", "in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "just", "you just do what the fuck you want to"),
+    ("cc0-1.0", "dedicated", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("python-2.0", "psf", "psf is making python available to licensee on an as is basis"),
+    ("openssl", "toolkit", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php-3.01", "php", "this product includes php software freely available from"),
+    ("artistic-2.0", "artistic", "the intent is that the copyright holder maintains some artistic control over the development of that package"),
+]
+
 # Words that go before or after a name when it is said to apply.
 GRANT = r"(?:licen[cs]ed|released|distributed|available|published|provided|made\s+available)\s+(?:to\s+you\s+)?(?:under|subject\s+to)\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?"
 TERMS = r"(?:subject\s+to|under|see|governed\s+by|terms\s+of)\s+(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+)?(?:the\s+)?"
@@ -107,9 +146,23 @@ class Rule:
     confidence: float
 
 
+#: What stands between the words of a body: blanks, punctuation, the marks of comments.
+_BETWEEN = r"[^\w]{1,24}"
+
+
+def _wording(text: str) -> str:
+    """A body's words in order, whatever stands between them."""
+    words = re.findall(r"\.\.\.|\w+", text)
+    parts = [rf"(?:\w+{_BETWEEN}){{1,20}}?" if w == "..." else re.escape(w) + ("" if i == len(words) - 1 else _BETWEEN) for i, w in enumerate(words)]
+    return r"\b" + "".join(parts) + r"\b"
+
+
 def build_rules() -> list[Rule]:
     """All rules; earlier ones win ties."""
-    rules = []
+    rules = [
+        Rule(label, re.compile(_wording(text), re.IGNORECASE | re.ASCII), (word,), 42, 0.97)
+        for label, word, text in BODIES
+    ]
     for label, names, words, address, address_words in LICENSES:
         tag = re.escape(label)
         name_words, places = tuple(words.split("|")), tuple(address_words.split("|"))

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -40,13 +41,48 @@ def phrase_places(text: str) -> tuple[int, list[tuple[int, str]]]:
     joined = b" " + b" ".join(words) + b" "
     found = []
     for phrase, label in _PHRASES:
-        at = joined.find(phrase)
+        at, before, words_before = joined.find(phrase), 0, 0
         while at >= 0:
-            found.append((joined.count(b" ", 0, at), label))
-            at = joined.find(phrase, at + 1)
+            # Only what lies between two places is counted.
+            words_before += joined.count(b" ", before, at)
+            found.append((words_before, label))
+            before, at = at, joined.find(phrase, at + 1)
     return len(words), found
 
 
+def _unsuppressed(found: list[tuple[int, int, int]], priorities: list[int]) -> list[tuple[int, int, int]]:
+    """The detections that none before them contains or is contained by; higher and longer ones first.
+
+    Kept ones never contain each other, so by start they are in order of their ends, too: of
+    those that start no later the last one reaches furthest, of those that start no earlier
+    the first one ends first. Detections of a priority and length are looked up together.
+    """
+    if len(found) < 2:
+        return found
+    spans = np.array(found, dtype=np.int64)
+    level = np.array(priorities)[spans[:, 2]]
+    size = spans[:, 1] - spans[:, 0]
+    order = np.lexsort((spans[:, 2], spans[:, 0], -size, -level))
+    spans, level, size = spans[order], level[order], size[order]
+    # Of equal spans of a priority the earliest rule speaks.
+    first = np.append(True, (np.diff(level) != 0) | (np.diff(size) != 0) | (np.diff(spans[:, 0]) != 0))
+    spans, level, size = spans[first], level[first], size[first]
+    cuts = np.flatnonzero(np.append(True, (np.diff(level) != 0) | (np.diff(size) != 0)))
+    kept = spans[:0]
+    for group in np.split(spans, cuts[1:]):
+        start, end = group[:, 0], group[:, 1]
+        if len(kept):
+            before = np.searchsorted(kept[:, 0], start, side="right") - 1
+            after = np.searchsorted(kept[:, 0], start, side="left")
+            contained = (before >= 0) & (kept[before, 1] >= end)
+            contains = (after < len(kept)) & (kept[np.minimum(after, len(kept) - 1), 1] <= end)
+            group = group[~(contained | contains)]
+        if len(group):
+            kept = np.concatenate([kept, group])
+            kept = kept[np.argsort(kept[:, 0], kind="stable")]
+    return [tuple(row) for row in kept.tolist()]
+
+
 class Scanner:
     """The rules and the automaton of their keywords."""
 
@@ -79,14 +115,7 @@ class Scanner:
             for m in self.rules[i].pattern.finditer(text)
             if m.end() > m.start()
         ]
-        found.sort(key=lambda d: (-self.rules[d[2]].priority, d[0] - d[1], d[2], d[0]))
-        kept: list[tuple[int, int, int]] = []
-        for start, end, i in found:
-            if not any(
-                (s <= start and end <= e) or (start <= s and e <= end) for s, e, _ in kept
-            ):
-                kept.append((start, end, i))
-        return sorted(kept)
+        return _unsuppressed(found, [r.priority for r in self.rules])
 
 
 @lru_cache(maxsize=1)
