@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -23,7 +24,7 @@ from palabre.llm.common import bound_batches
 from palabre.llm.components import connected_components
 from palabre.llm.language_id import subword_counts
 from palabre.llm.license_rules import build_rules
-from palabre.llm.license_scan import phrase_places, scanner
+from palabre.llm.license_scan import _unsuppressed, phrase_places, scanner
 from palabre.llm.near_dedup import least_matches, near_duplicates
 from palabre.llm.packing import Filled, best_fit, pack_documents, plan_packing, reduce_by_dominance
 from palabre.llm.pii import feistel, permuted_digits, pseudonym, pseudonymise
@@ -67,6 +68,30 @@ def test_repeated_fingerprints_of_many_partitions(spark, range_rows):
     assert got == want and len(got) == 300
 
 
+def test_a_filter_is_as_large_as_its_entries():
+    rnd = np.random.default_rng(1)
+    one = CountingQuotientFilter.build(np.array([123456789], dtype=np.uint64)).to_bytes()
+    assert len(one) < 100
+    keys = rnd.integers(0, 1 << 63, 20_000, dtype=np.uint64) * np.uint64(2)
+    many = CountingQuotientFilter.build(np.concatenate([keys, keys[:3000], *[keys[:10]] * 400]))
+    assert len(many.to_bytes()) < 20_000 * 8 and many.remainder_bits < 51
+    back = CountingQuotientFilter.from_bytes(many.to_bytes())
+    assert back.count(int(keys[5])) == 402 and back.count(int(keys[5]) + 1) == 0
+    # Counters of every length, of the least remainders too.
+    counts = np.array([1, 2, 3, 4, 5, 255, 256, 1000, 70_000, 10**12, 1, 2])
+    for first in (0, 1, 2, 250):
+        near = np.arange(first, first + len(counts), dtype=np.uint64)
+        for bits in (None, 0, 6):
+            got = CountingQuotientFilter.build(near, bits, counts)
+            assert got.entries()[0].tolist() == near.tolist() and got.counts.tolist() == counts.tolist()
+
+
+def test_ten_thousand_ranges(spark):
+    keys = spark.range(0, 12_000, 1, 3).select(F.xxhash64(F.col("id") % 9000).alias("fingerprint"))
+    got = {r[0] for r in repeated_fingerprints(keys, range_rows=1, lanes=2).collect()}
+    assert len(got) == 3000
+
+
 # Near duplicates.
 
 
@@ -347,6 +372,75 @@ def test_clean_documents_are_kept(spark):
     assert by.get((1, False), 0) == 0 and by[(0, False)] > 0
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_junk_is_rejected(spark, hot):
+    """Also with a third of all rows from one source of junk, copies with small changes."""
+    folder = SF_DIR.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    if hot:
+        junk = docs.join(labels.filter("quality = 0"), "doc_id").filter("length(text) > 900").select(docs.columns)
+        more = junk.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(5000 // max(1, junk.count()) + 1))))
+        copies = more.withColumn("text", F.concat("text", F.lit(" "), F.col("k").cast("string"))).drop("k")
+        docs = docs.unionByName(copies.withColumns({"source": F.lit("hot"), "doc_id": F.col("doc_id") + 10**9}))
+    judged = judge_quality(docs).filter("not base_failed and n_words >= 100 and kinds_distance is not null")
+    by = {(r.quality, r.kept): r["count"] for r in judged.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    good, bad = by[(1, True)] + by.get((1, False), 0), by[(0, False)] + by.get((0, True), 0)
+    assert by.get((0, True), 0) <= 0.05 * bad and by.get((1, False), 0) <= 0.01 * good
+
+
+def test_kinds_are_judged_in_any_language_and_table(spark):
+    """A page of symbols goes, whatever its language's name and however small the table is."""
+    prose = " ".join(f"Some {chr(97 + i % 26)}word{chr(97 + i // 26)} makes, one." for i in range(60))
+    symbols = " ".join(f"| {i} | ## 77 $$" for i in range(60))
+    rows = [(i, f"{prose} {i}", lang, f"s{i}") for i in range(4) for lang in ("zz", None)]
+    rows += [(9, symbols, "zz", "s"), (8, symbols, None, "s"), (7, symbols, "alone", "s")]
+    got = judge_quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    by = {(r.doc_id, r.kept) for r in got.filter("doc_id > 6").collect()}
+    assert (9, False) in by and (8, False) in by
+    assert {r.kept for r in got.filter("doc_id < 6").collect()} == {True}
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction"""
+BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ * 3. Neither the name of the University nor the names of its contributors may be used to
+ *    endorse or promote products derived from this software without specific prior written permission."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+
+def test_license_bodies_need_no_name():
+    own = scanner()
+    for text, labels in ((MIT, {"mit"}), (BSD, {"bsd", "bsd-3-clause"}), (ISC, {"isc"}), ("permission is granted", set())):
+        assert {own.rules[i].label for _, _, i in own.detections(text)} == labels
+
+
+def test_suppression_is_that_of_comparing_all():
+    rnd = random.Random(6)
+    for _ in range(200):
+        priorities = [rnd.randrange(3) for _ in range(8)]
+        found = [(s, s + rnd.randrange(1, 12), rnd.randrange(8)) for s in (rnd.randrange(40) for _ in range(rnd.randrange(30)))]
+        ranked = sorted(found, key=lambda d: (-priorities[d[2]], d[0] - d[1], d[2], d[0]))
+        kept = []
+        for s, e, i in ranked:
+            if not any((a <= s and e <= b) or (s <= a and b <= e) for a, b, _ in kept):
+                kept.append((s, e, i))
+        assert [d[:2] for d in _unsuppressed(found, priorities)] == [d[:2] for d in sorted(kept)]
+
+
+def test_a_long_repetitive_text_is_scanned_in_time():
+    text = "mit license and " * 300_000
+    begun = time.perf_counter()
+    n_words, places = phrase_places(text)
+    assert n_words == 900_000 and len(places) == 300_000 and places[-1][0] == 899_997
+    assert len(scanner().detections(text)) == 300_000
+    assert time.perf_counter() - begun < 60
+
+
 def test_license_rules_suppress_what_they_contain():
     rules = build_rules()
     assert len(rules) > 400
