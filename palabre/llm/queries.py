@@ -101,7 +101,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound_batches(spark)
+    bound_batches(spark, 64)
     return remove_repeats(read_table(spark, sf_dir, "documents"), digests_only=True)
 
 

@@ -37,7 +37,9 @@ LENGTH, GRAM = 200, 73
 #: Classes of segments of one anchor that one task sorts.
 BUCKET = 128
 #: Segments that are sorted at once.
-_AT_ONCE = 8192
+_AT_ONCE = 2048
+#: Rows of segments that a worker holds before it sends them on.
+_ROWS = 4096
 
 _CLASS = ["anchor", "seg1", "seg2"]
 _KEY = ["k1", "k2"]
@@ -85,6 +87,10 @@ def _segments(length: int, gram: int, maybe):
     names = [c.split()[0] for c in _SEGMENTS.split(", ")]
     kinds = [pa.int64()] * 7 + [pa.int32()] * 2 + [pa.binary()]
 
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
+
     def of(k1: int, k2: int, text: bytes) -> Iterator[tuple]:
         first, last, place, name = anchors(np.frombuffer(text, np.uint8), length, gram)
         name = name.view(np.int64)
@@ -104,11 +110,15 @@ def _segments(length: int, gram: int, maybe):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("k1", "k2", "text"))
-            rows = [row for document in zip(*columns, strict=True) for row in of(*document)]
+            rows: list[tuple] = []
+            for k1, k2, text in zip(*(batch.column(c) for c in ("k1", "k2", "text")), strict=True):
+                for row in of(k1.as_py(), k2.as_py(), text.as_py()):
+                    rows.append(row)
+                    if len(rows) == _ROWS:
+                        yield made(rows)
+                        rows = []
             if rows:
-                arrays = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                yield made(rows)
 
     return run
 
@@ -176,22 +186,63 @@ def _sort_buckets(length: int):
     return run
 
 
-def _count_strings(segments: DataFrame, length: int) -> DataFrame:
-    """The repeated strings of single segments in buckets of any size, by counted digests."""
-    strings = segments.select(
-        *_CLASS, "n", "segment", F.posexplode(F.sequence(F.lit(1), F.length("segment") - (length - 1))).alias("i", "from")
-    ).select(*_CLASS, "n", F.col("i").cast("long").alias("i"), F.sha2(F.substring("segment", F.col("from"), F.lit(length)), 256).alias("digest"))
-    repeated = strings.groupBy("anchor", "digest").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    found = strings.filter("n = 1").join(repeated, ["anchor", "digest"], "left_semi")
-    # At most ``length`` strings of one segment.
-    lists = found.groupBy(*_CLASS).agg(F.collect_set("i").alias("is"))
+#: Neighbouring strings that are told apart at once, then those of what is left, and so on.
+_SLICES = (16, 4, 1)
+
+
+def _count_strings(segments: DataFrame, length: int, gram: int) -> DataFrame:
+    """The repeated strings of single segments in buckets of any size, by counted digests.
+
+    Strings go by their distance before the anchor, which equal ones have in common. Those of
+    a slice of distances share a core: if it is in no other segment, none of them is repeated.
+    If another segment has all the bytes of the slice, all of them are. What is still open
+    goes on in smaller slices, down to the strings themselves.
+    """
+    strings = F.length("segment") - (length - 1)
+    wide = -(-(length - gram + 1) // _SLICES[0]) * _SLICES[0]
+    open_ = segments.select(*_CLASS, F.lit(0).alias("slice"))
+    found = None
+    for width in _SLICES:
+        parts = F.sequence(F.col("slice"), F.least(F.col("slice") + (wide - 1), F.col("at")), F.lit(width))
+        inside = open_.join(segments, _CLASS).withColumn("slice", F.explode(parts)).select(
+            *_CLASS,
+            "n",
+            "segment",
+            "at",
+            "slice",
+            # The distances of the slice that the segment has.
+            F.greatest("slice", F.col("at") - strings + 1).alias("near"),
+            F.least(F.col("slice") + (width - 1), F.col("at")).alias("far"),
+        ).filter("near <= far")
+        core = F.substring("segment", F.col("at") - F.col("slice") + 1, F.lit(length - width + 1))
+        bytes_ = F.substring("segment", F.col("at") - F.col("far") + 1, F.col("far") - F.col("near") + length)
+        slices = inside.select(
+            *_CLASS, "n", "at", "slice", "near", "far", F.sha2(core, 256).alias("core"), F.sha2(bytes_, 256).alias("whole")
+        )
+        slices = stage(slices, "slices")
+        same = ["anchor", "slice", "near", "far", "whole"]
+        wholes = slices.groupBy(*same, "core").agg(F.count(F.lit(1)).alias("wholes"), F.min("seg1").alias("one"))
+        cores = wholes.groupBy("anchor", "slice", "core").agg(
+            F.sum("wholes").alias("cores"), F.count(F.lit(1)).alias("kinds")
+        )
+        live = slices.join(cores.filter("cores > 1").drop("cores"), ["anchor", "slice", "core"])
+        judged = stage(live.join(wholes.select(*same, "one", (F.col("wholes") > 1).alias("done")), same), "judged")
+        done = judged.filter("done and n = 1").select(
+            *_CLASS, F.struct((F.col("at") - F.col("far")).alias("first"), (F.col("at") - F.col("near")).alias("last")).alias("range")
+        )
+        found = done if found is None else found.unionByName(done)
+        # One of equal slices goes on for those that share only a part with them.
+        open_ = judged.filter("not done or (kinds > 1 and seg1 = one)").select(*_CLASS, "slice")
+        wide = width
+    # At most ``length`` ranges of one segment.
+    lists = found.groupBy(*_CLASS).agg(F.collect_set("range").alias("found"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = []
-            for places in batch.column("is").to_pylist():
-                at = np.sort(np.array(places, dtype=np.int64))
-                packed.append(_pairs(*_joined(at, at)))
+            for ranges in batch.column("found").to_pylist():
+                ends = np.array(sorted((r["first"], r["last"]) for r in ranges), dtype=np.int64)
+                packed.append(_pairs(*_joined(ends[:, 0], ends[:, 1])))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in _CLASS), pa.array(packed, pa.binary())], names=[*_CLASS, "ranges"]
             )
@@ -257,7 +308,7 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     # Any member of a class can stand for it; "first" takes all fields from one row.
     one = [F.first(c).alias(c) for c in ("k1", "k2", "first", "size", "at")]
     classes = stage(segments.groupBy(*_CLASS).agg(F.sum("n").alias("n"), *one), "classes")
-    sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    sizes = stage(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1"), "sizes")
     open_ = stage(classes.join(sizes, "anchor"), "open")
 
     wanted = open_.groupBy(*_KEY).agg(
@@ -271,7 +322,7 @@ def repeated_runs(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
     cut = stage(cut.join(sizes, "anchor"), "cut")
     small = cut.filter(F.col("classes") <= bucket).drop("classes").repartition("anchor").sortWithinPartitions("anchor")
     partial = small.mapInArrow(_sort_buckets(length), "anchor long, seg1 long, seg2 long, ranges binary").unionByName(
-        _count_strings(cut.filter(F.col("classes") > bucket), length)
+        _count_strings(cut.filter(F.col("classes") > bucket), length, gram)
     )
     whole = classes.filter("n > 1").select(*_CLASS, F.lit(None).cast("binary").alias("ranges"))
     verdicts = stage(whole.unionByName(partial), "verdicts")

@@ -101,6 +101,7 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
 class SuffixSorter:
     """Sorts suffixes of a byte array, cut to ``length`` bytes, within given groups.
 
+    Every suffix has so many bytes at least.
     A comparison finds the common extension of two suffixes by binary search over
     prefix hashes, so it takes log2(length) steps. The sort is a bottom-up mergesort:
     every element's rank in the neighbouring run is found by binary search, for all runs
