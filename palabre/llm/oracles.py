@@ -163,7 +163,99 @@ FROM j
 """
 
 
+REPEATS = """
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS hx, strlen(coalesce(text, '')) AS n
+  FROM documents
+),
+w AS (SELECT r, unnest(range(0, n - 199)) AS s, hx FROM t WHERE n >= 200),
+g AS (SELECT r, s, md5(substr(hx, 2 * s + 1, 400)) AS g FROM w),
+d AS (SELECT r, s FROM g QUALIFY count(*) OVER (PARTITION BY g) > 1),
+e AS (SELECT r, s, coalesce(s > lag(s) OVER (PARTITION BY r ORDER BY s) + 200, TRUE) AS new FROM d),
+f AS (SELECT r, s, sum(new::INT) OVER (PARTITION BY r ORDER BY s) AS run FROM e),
+runs AS (SELECT r, run, min(s) AS a, max(s) + 200 AS b FROM f GROUP BY r, run),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs),
+kept AS (
+  SELECT t.r, sum(b - a) AS gone, count(*) AS spans, max(b) AS last,
+         string_agg(substr(hx, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM gaps JOIN t ON t.r = gaps.r GROUP BY t.r
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM t LEFT JOIN kept ON kept.r = t.r
+"""
+
+
+def _manifest(levels: int = 8, top_levels: int = 4) -> str:
+    """Trees of up to 8^levels leaves and 8^top_levels languages, level by level."""
+
+    def field(value: str) -> str:
+        shown = f"CAST({value} AS VARCHAR)"
+        return f"coalesce(strlen({shown}) || ':' || {shown}, '-')"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+    # The CRC-32 bit by bit: a byte is mixed in, then eight steps are made.
+    steps = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}), lambda a, x: {step}), 4294967295)"
+    lower = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+
+    def grown(name: str, depth: int) -> str:
+        parts = []
+        for k in range(depth):
+            parts.append(
+                f"{name}_run{k} AS (SELECT tree, i // 8 AS i, list(h ORDER BY i) AS hs, any_value(n) AS n FROM "
+                f"(SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {name}{k}) GROUP BY tree, i // 8)"
+            )
+            parts.append(
+                f"{name}{k + 1} AS (SELECT tree, i, CASE WHEN n > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h "
+                f"FROM {name}_run{k})"
+            )
+        return ",\n".join(parts)
+
+    def folded(name: str, start: str, place: str, tree: str, depth: int) -> str:
+        parts, before = [], start
+        for k in range(depth):
+            slot = f"(({place} // {8**k}) % 8)"
+            new = f"array_to_string(list_transform(hs, lambda x, j: CASE WHEN j = {slot} + 1 THEN f ELSE x END), '')"
+            others = f"array_to_string(list_filter(hs, lambda x, j: j <> {slot} + 1), '')"
+            parts.append(
+                f"{name}_fold{k} AS (SELECT p.* EXCLUDE (f, proof), CASE WHEN n > 1 THEN sha256({new}) ELSE f END AS f, "
+                f"CASE WHEN n > 1 THEN proof || {others} ELSE proof END AS proof FROM {before} p JOIN {name}_run{k} q "
+                f"ON q.tree IS NOT DISTINCT FROM p.{tree} AND q.i = p.{place} // {8 ** (k + 1)})"
+            )
+            before = f"{name}_fold{k}"
+        return ",\n".join(parts)
+
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, lang, {leaf('text')} AS leaf,
+         CASE WHEN {crc} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS f
+  FROM documents
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, f) - 1 AS place, '' AS proof FROM leaves
+),
+low0 AS (SELECT lang AS tree, place AS i, leaf AS h FROM placed),
+{grown('low', levels)},
+subroots AS (SELECT tree AS lang, h AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS t FROM low{levels}),
+top0 AS (SELECT '' AS tree, t AS i, subroot AS h FROM subroots),
+{grown('top', top_levels)},
+{folded('low', 'placed', 'place', 'lang', levels)},
+named AS (
+  SELECT p.*, subroot, t, '' AS one FROM low_fold{levels - 1} p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang
+),
+{folded('top', 'named', 't', 'one', top_levels)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = h AS verified
+FROM top_fold{top_levels - 1}, top{top_levels}
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_suffix_array_dedup": REPEATS,
+    "op13_merkle_manifest": _manifest(),
     "op4_quality_rules": _quality(),
     "op8_minhash_near_dedup": NEAR,
     "op10_exact_dedup": EXACT,
