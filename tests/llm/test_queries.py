@@ -15,9 +15,9 @@ def test_query_matches_sql(spark, key):
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_answers_for_every_row(spark, key):
-    table = "pages" if key.startswith("op1_") else "documents"
+    own = {"op1": ("pages", "page_id"), "op12": ("embeddings", "vec_id")}
+    table, id_ = own.get(key.split("_")[0], ("documents", "doc_id"))
     want = spark.read.parquet(f"{SF_DIR}/{table}.parquet")
-    id_ = "page_id" if table == "pages" else "doc_id"
     got = QUERIES[key](spark, SF_DIR).select(id_)
     assert got.distinct().count() == want.count()
     if key.split("_")[0] in SAME_ROWS:
