@@ -16,6 +16,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from palabre.functions.values import label_of
 from palabre.schemas import MESSAGE_LABELS
+from palabre.session import scratch, shared_dir
 
 Scorer = Callable[[Column], Column]
 
@@ -83,7 +84,13 @@ def train_classifier(
         fitted = regression.fit(weighing.transform(counted))
     finally:
         counted.unpersist()
-    return PipelineModel(stages=[words, counts, weighing, fitted])
+    model = PipelineModel(stages=[words, counts, weighing, fitted])
+    # A fitted regression holds on to its session by its training summary, which tasks can't be
+    # sent once the session has observed metrics. What is read back has none.
+    with scratch(labelled.sparkSession, "fit"):
+        path = shared_dir(labelled.sparkSession, "model")
+        model.write().save(path)
+        return PipelineModel.load(path)
 
 
 def classify_with_model(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from dataclasses import replace
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palabre import operators as ops
@@ -582,9 +582,9 @@ def _ingest_messages(spark: SparkSession, sf_dir: str) -> IngestJob:
 
 
 def _whole(df: DataFrame) -> DataFrame:
-    """The stored messages and whether all have an id of their own."""
-    ids = df.agg((F.count_distinct("id") == F.count("*")).alias("distinct_ids"))
-    return _time_as_text(df.drop("id"), "Created_At").crossJoin(F.broadcast(ids))
+    """The stored messages and whether each has an id of its own."""
+    alone = F.count("*").over(Window.partitionBy("id")) == 1
+    return _time_as_text(df.withColumn("distinct_ids", alone).drop("id"), "Created_At")
 
 
 @query
