@@ -1,16 +1,18 @@
 """Whitening of embeddings by a Chebyshev-filtered subspace iteration.
 
-Vectors stay where they are: the covariance V is never formed. A block Q of a few more
-columns than wanted is multiplied by passes over the data, each of which sums X'(XQ) of
-the centred rows X of every partition. Between passes the driver holds only such blocks (a
-row for each dimension):
+Vectors stay where they are. A block Q of a few more columns than wanted is multiplied by the
+covariance V of the centred rows X, again and again:
 
-1. Rayleigh-Ritz: one pass gives VQ, the small matrix Q'VQ its eigenvectors, and these the
+1. Rayleigh-Ritz: one product gives VQ, the small matrix Q'VQ its eigenvectors, and these the
    residuals VQ - QE. If the wanted ones are small enough, the components are certified.
 2. Else the block is filtered: a Chebyshev polynomial of V, by its three-term recurrence of
-   one pass a degree, which is at most 1 on the unwanted part of the spectrum (0 up to the
+   one product a degree, which is at most 1 on the unwanted part of the spectrum (0 up to the
    block's least Ritz value) and grows fast above. QR makes it orthonormal again.
 
+Of vectors up to ``WIDEST`` long V is summed by one pass over the rows, X'X of every partition,
+and the products need no further one. Of longer ones V is never formed: each product is a pass
+that sums X'(XQ), and the driver holds only such blocks (a row for each dimension).
+
 Partial sums are added up by tasks before the driver takes a bounded number of them.
 """
 
@@ -34,12 +36,15 @@ SCALE, SHIFT = 1024, 100_000
 _LARGEST = 2.0**52 / SCALE
 #: Components, and columns of the block besides them.
 COMPONENTS, GUARD = 8, 24
-#: Most passes of one filter, and rounds before it gives up.
+#: Most products of one filter, and rounds before it gives up.
 DEGREE, ROUNDS = 20, 60
 #: A component is certified at a residual of this share of the largest eigenvalue.
 TOLERANCE = 1e-14
 #: An eigenvalue below this share of the largest one counts as zero: nothing to scale by.
 ZERO = 1e-12
+#: Up to so many dimensions the covariance is formed: 8 MB, which every partition sends once. That is
+#: less than its blocks of all passes, of which an iteration takes about a hundred.
+WIDEST = 1024
 #: Tasks that add up the partial sums of all partitions.
 _ADDERS = 4
 
@@ -144,6 +149,11 @@ class _Covariance:
         self.passes += 1
         return _summed(self.rows, lambda x: of((x - whole) - rest), first) / self.n
 
+    def matrix(self) -> np.ndarray:
+        """The covariance itself."""
+        v = self._pass(lambda centred: centred.T @ centred, len(self.whole))
+        return (v + v.T) / 2
+
     def variances(self) -> np.ndarray:
         return self._pass(lambda centred: np.einsum("ij,ij->j", centred, centred), 1)
 
@@ -214,9 +224,10 @@ def subspace_iteration(
     return values[:wanted], q[:, :wanted], residual
 
 
-def fit_whitening(rows: DataFrame, components: int = COMPONENTS) -> Whitening | None:
+def fit_whitening(rows: DataFrame, components: int = COMPONENTS, widest: int = WIDEST) -> Whitening | None:
     """The components of stored ``rows (vec_id, x)``; None if there is no row.
 
+    Vectors longer than ``widest`` are multiplied by passes over the rows.
     Components whose eigenvalue is zero are left out: there may be fewer than asked for.
     """
     sums = _summed(rows, _exact_sums, 3, np.int64)
@@ -225,11 +236,15 @@ def fit_whitening(rows: DataFrame, components: int = COMPONENTS) -> Whitening |
     n = int(sums[0, 0])
     exact = tuple((int(high) << 26) + int(low) for high, low in zip(sums[1], sums[2], strict=True))
     covariance = _Covariance(rows, n, exact)
-    trace = float(covariance.variances().sum())
+    if len(exact) <= widest:
+        formed = covariance.matrix()
+        trace, times = float(np.trace(formed)), formed.__matmul__
+    else:
+        trace, times = float(covariance.variances().sum()), covariance.times
     if trace == 0:
         none = np.empty((len(exact), 0))
         return Whitening(n, exact, none, np.empty(0), trace, 0.0, 0.0, covariance.passes)
-    values, vectors, residual = subspace_iteration(covariance.times, len(exact), components)
+    values, vectors, residual = subspace_iteration(times, len(exact), components)
     real = values > ZERO * values[0]
     values, vectors = values[real], vectors[:, real]
     # Of the two signs the one that makes the largest entry positive.

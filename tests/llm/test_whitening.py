@@ -72,6 +72,17 @@ def test_whitened_rows(spark):
     assert got["deviation"].tolist()[::8] == exact
 
 
+def test_short_vectors_take_few_passes(spark):
+    """The covariance is summed once; longer vectors are multiplied by passes, to the same components."""
+    vectors = np.random.default_rng(4).standard_normal((300, 48)) * np.linspace(2, 1, 48)
+    rows = scaled_vectors(frame(spark, vectors))
+    formed, passed = fit_whitening(rows), fit_whitening(rows, widest=47)
+    assert formed.passes <= 2 < passed.passes
+    assert np.allclose(formed.values, passed.values, rtol=1e-12) and max(formed.residual, passed.residual) < 1e-13
+    assert np.allclose(np.abs(np.sum(formed.vectors * passed.vectors, axis=0)), 1, atol=1e-10)
+    assert np.isclose(formed.trace, passed.trace, rtol=1e-12) and formed.identity_error < 1e-9
+
+
 def test_odd_rows(spark):
     """Unusable vectors go; equal or single ones have no component; repeated rows count each."""
     nan, inf = float("nan"), float("inf")
