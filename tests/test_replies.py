@@ -109,6 +109,17 @@ def test_one_record_in_most_rows(spark):
     assert len(per_bucket) > 20 and max(per_bucket.values()) < 500
 
 
+def test_many_copies_are_made_by_several_tasks(spark, monkeypatch):
+    """A few records with many copies are as much work as the messages that they become."""
+    monkeypatch.setattr("palabre.operators.replies.TASK_BYTES", 200_000)
+    df = spark.createDataFrame([("a", 150_000), ("b", 49_000), ("c" * 600, 900)], "t string, n long")
+    reply = ops.json_reply(df, copies="n", max_rows=1000, max_bytes=1000)
+    assert len(reply.inputFiles()) > 5
+    rows = reply.collect()
+    assert max(len(r["value"]) for r in rows) <= 1000
+    assert Counter(e["t"][0] for e in elements_of(rows)) == {"a": 150_000, "b": 49_000, "c": 900}
+
+
 def test_reply_users(spark):
     users = spark.createDataFrame([("A", "a@x", "p", None)], schemas.USER)
     right = spark.createDataFrame([("a@x", "p")], schemas.USER_LOGIN)
