@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from palabre import operators as ops
 from palabre import schemas
-from palabre.operators.status import KEPT
+from palabre.operators.status import KEPT, merge_status
 from palabre.sources import (
     FileTopics,
     Manifest,
@@ -221,6 +221,30 @@ def test_kept_status_is_the_full_join(spark, scratch):
     assert listed(ops.kept_status_counts(kept.read())) == listed(ops.status_counts(*frames(sent, checked)))
 
 
+def test_status_is_merged_in_as_many_tasks_as_its_rows_need(spark, scratch, monkeypatch):
+    """One task has some rows, however many there are and however small they are."""
+    monkeypatch.setattr("palabre.operators.status.TASK_ROWS", 100)
+    sent = [message(n % 300, "ab"[n % 2]) for n in range(900)] + [message(None, str(n)) for n in range(50)]
+    checked = [(str(n % 350), ["true", "false", None][n % 3], None) for n in range(1400)]
+    messages = spark.createDataFrame(sent, schemas.stored(schemas.MESSAGE))
+    verdicts = spark.createDataFrame(checked, schemas.MESSAGE_METADATA)
+    old = merge_status(spark.createDataFrame([], KEPT), messages, verdicts, tasks=23)
+    assert old.rdd.getNumPartitions() >= 23
+    kept = ops.KeptStatus(spark, f"{scratch}/status", buckets=3)
+    for m, v in ((messages.limit(0), verdicts), (messages, verdicts.limit(0)), (messages, verdicts)):
+        kept.merge(m, v)
+    twice = ops.kept_status_counts(merge_status(old, messages, verdicts, tasks=7))
+
+    def listed(df):
+        return sorted(map(str, df.collect()))
+
+    assert listed(ops.kept_status_counts(kept.read())) == listed(twice)
+    both = messages.unionByName(messages), verdicts.unionByName(verdicts)
+    whole = ops.status_counts(*both)
+    one = whole.groupBy(*[c for c in whole.columns if c != "copies"]).agg(F.sum("copies").alias("copies"))
+    assert listed(twice.select(*one.columns)) == listed(one)
+
+
 def test_kept_status_writes_only_changed_buckets(spark, scratch):
     kept = ops.KeptStatus(spark, f"{scratch}/status", buckets=32)
     none = spark.createDataFrame([], schemas.MESSAGE_METADATA)
