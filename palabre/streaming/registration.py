@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterator, Sequence
 from dataclasses import replace
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import StorageLevel
@@ -80,29 +81,44 @@ def register_batch(
 
 #: The state store that keeps more keys than fit in memory.
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_EMAIL = "_email"
+_EMAIL, _SHARE = "_email", "_share"
+#: E-mails are dealt to so many shares, which have one state each: asking for a state costs far more
+#: than reading some e-mails. Fixed with a checkpoint.
+SHARES = 1 << 16
+
+
+def _shared(emails: DataFrame) -> DataFrame:
+    return emails.withColumn(_SHARE, F.pmod(F.xxhash64(_EMAIL), F.lit(SHARES)).cast("int"))
 
 
 class FirstOfEmail(StatefulProcessor):
-    """Lets the first registration of each e-mail pass; the state is whether it is taken."""
+    """Lets the first registration of each e-mail of a share pass; the state is which are taken."""
 
     def __init__(self, order_by: Sequence[str]) -> None:
         self._order_by = tuple(order_by)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._taken = handle.getValueState("taken", "taken boolean")
+        # An entry for each batch that had new ones.
+        self._taken = handle.getListState("taken", "emails array<string>")
 
     def _rank(self, row: Row) -> tuple:
         return tuple((row[c] is not None, row[c]) for c in self._order_by)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        first = min(rows, key=self._rank)
-        if not self._taken.exists():
-            self._taken.update((True,))
-            yield first
+        first: dict[str, Row] = {}
+        for row in rows:
+            before = first.get(row[_EMAIL])
+            if before is None or self._rank(row) < self._rank(before):
+                first[row[_EMAIL]] = row
+        for (emails,) in self._taken.get():
+            for email in emails:
+                first.pop(email, None)
+        if first:
+            self._taken.appendValue((list(first),))
+        yield from first.values()
 
     def handleInitialState(self, key: tuple, initialState: Row, timerValues) -> None:
-        self._taken.update((True,))
+        self._taken.appendValue((list(initialState["emails"]),))
 
     def close(self) -> None:
         pass
@@ -115,10 +131,10 @@ def _first_in_chunk(order_by: Sequence[str]):
         for batch in batches:
             order = pc.sort_indices(
                 batch, sort_keys=[(c, "ascending") for c in order_by], null_placement="at_start"
-            ).to_pylist()
-            emails = batch.column(_EMAIL).to_pylist()
-            first = {emails[i]: i for i in reversed(order)}
-            yield batch.take(pa.array(sorted(first.values()), pa.int64()))
+            ).to_numpy()
+            emails = batch.column(_EMAIL).dictionary_encode().indices.to_numpy()
+            _, first = np.unique(emails[order], return_index=True)
+            yield batch.take(pa.array(np.sort(order[first])))
 
     return run
 
@@ -139,9 +155,9 @@ def start_stateful_registration(
     error_location: str | None = None,
     **source_options: str,
 ) -> StreamingQuery:
-    """Keep a table of users with unique e-mails up to date, by a state for each e-mail.
+    """Keep a table of users with unique e-mails up to date, by a state for each share of the e-mails.
 
-    The state begins with the e-mails of ``table`` and of the ``known`` tables (of those that
+    Of a batch's e-mails the shares are read (``SHARES`` in all, by a hash). The state begins with the e-mails of ``table`` and of the ``known`` tables (of those that
     exist) and lives with the checkpoint: after the first batch no table is read, however
     many users there are. State and table move on together, batch by batch, and a batch that
     is run again writes the same rows. So only this query may add users; e-mails that come
@@ -155,7 +171,7 @@ def start_stateful_registration(
     )
     ingested = ingest_json(topics.stream(spark, topic, **source_options), USER, unwrap=True)
     names = [f.name for f in stored(USER).fields]
-    offered = ingested.valid.select(*names, email_key().alias(_EMAIL))
+    offered = _shared(ingested.valid.select(*names, email_key().alias(_EMAIL)))
     fewer = offered.mapInArrow(_first_in_chunk(order_by), offered.schema)
     taken = None
     for name in (table, *known):
@@ -166,17 +182,18 @@ def start_stateful_registration(
             rows = rows.filter(F.col(RUN_COLUMN) != run)
         emails = rows.select(email_key().alias(_EMAIL))
         taken = emails if taken is None else taken.unionByName(emails)
-    accepted = fewer.groupBy(_EMAIL).transformWithState(
+    known_by_share = _shared(taken.distinct()).groupBy(_SHARE).agg(F.collect_list(_EMAIL).alias("emails"))
+    accepted = fewer.groupBy(_SHARE).transformWithState(
         statefulProcessor=FirstOfEmail(order_by),
         outputStructType=offered.schema,
         outputMode="Append",
         timeMode="None",
-        initialState=taken.distinct().groupBy(_EMAIL),
+        initialState=known_by_share.groupBy(_SHARE),
     )
     rejected = ingested.invalid.select(
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in stored(USER).fields], "corrupt_record", "processed_time"
     )
-    both = accepted.drop(_EMAIL).unionByName(rejected, allowMissingColumns=True)
+    both = accepted.drop(_EMAIL, _SHARE).unionByName(rejected, allowMissingColumns=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.persist(StorageLevel.MEMORY_AND_DISK)

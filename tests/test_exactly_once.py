@@ -6,6 +6,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from palabre import operators as ops
@@ -34,6 +35,7 @@ from palabre.streaming import (
 )
 from palabre.streaming import ingest as ingest_module
 from palabre.streaming.queries import run_name
+from palabre.streaming.registration import FirstOfEmail
 from tests.test_streaming import MESSAGES, message_job, replies, send, user_table
 
 
@@ -309,6 +311,34 @@ def test_stateful_registration(spark, scratch, name):
     assert [r["corrupt_record"] for r in read_table(spark, f"{name}_errors").collect()] == ["not json"]
 
 
+def test_a_state_is_asked_once_for_many_emails():
+    """All e-mails of a share are judged by one state, with two calls."""
+
+    class Taken(list):
+        calls = 0
+
+        def get(self):
+            Taken.calls += 1
+            return iter(self)
+
+        def appendValue(self, value):
+            Taken.calls += 1
+            self.append(value)
+
+    class Handle:
+        def getListState(self, name, schema):
+            return taken
+
+    taken, first = Taken(), FirstOfEmail(["n"])
+    first.init(Handle())
+    first.handleInitialState((1,), Row(_share=1, emails=["e0", "e1"]), None)
+    rows = [Row(_email=f"e{i}", n=n) for n in (2, None, 1) for i in range(500)]
+    assert {(r._email, r.n) for r in first.handleInputRows((1,), iter(rows), None)} == {(f"e{i}", None) for i in range(2, 500)}
+    assert Taken.calls == 3
+    assert list(first.handleInputRows((1,), iter(rows), None)) == []
+    assert [r._email for r in first.handleInputRows((1,), iter([Row(_email="x", n=1)]), None)] == ["x"]
+
+
 def test_models_are_promoted_by_held_out_messages(spark, scratch):
     words = [("urgent now", "inapproprié"), ("all calm", "approprié")]
     rows = [(str(i), words[i % 2][0] + f" {i}", words[i % 2][1]) for i in range(200)]
