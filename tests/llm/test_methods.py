@@ -391,7 +391,7 @@ def test_junk_is_rejected(spark, hot):
 
 def test_kinds_are_judged_in_any_language_and_table(spark):
     """A page of symbols goes, whatever its language's name and however small the table is."""
-    prose = " ".join(f"Some {chr(97 + i % 26)}word{chr(97 + i // 26)} makes, one." for i in range(60))
+    prose = " ".join(f"Some {chr(97 + i % 26)}word{chr(97 + i // 26)} makes{chr(97 + i % 26)}{chr(97 + i // 26)}, one." for i in range(60))
     symbols = " ".join(f"| {i} | ## 77 $$" for i in range(60))
     rows = [(i, f"{prose} {i}", lang, f"s{i}") for i in range(4) for lang in ("zz", None)]
     rows += [(9, symbols, "zz", "s"), (8, symbols, None, "s"), (7, symbols, "alone", "s")]
